@@ -5,24 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules
-from .common import table
+from . import chat, mixing, quality_rules, warc
+from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_dir(spark, "warc")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_chars", "base_failed", "kept")
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    own = spark.sql(f"SELECT -1L AS conv_id, turn, role, '{said}' AS text FROM VALUES (0L, 'user'), (1L, 'assistant') AS t(turn, role)")
+    return chat.read_digests(chat.format_conversations(turns.unionByName(own), fresh_dir(spark, "chat")))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat": op6_chat,
     "op8_mixing": op8_mixing,
 }
 
@@ -98,4 +113,33 @@ SELECT doc_id, size, source_size, target,
        CAST(passes * size + greatest(0, least(b + size, off + run) - greatest(b, off)) + greatest(0, least(b + size, off + run - shard_size) - b) AS BIGINT) AS taken
 FROM x"""
 
-ORACLES = {"op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
+OP1_SQL = f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+t AS (SELECT *, CASE WHEN payload_bytes >= {warc.LEAST_REVISIT} THEN max(page_id) OVER (PARTITION BY payload_digest) END AS top FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN top IS NOT NULL AND page_id IS DISTINCT FROM top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM top THEN top END AS refers_to FROM t"""
+
+
+def _escapes(column: str) -> str:
+    """Characters that escaping adds: one for each backslash and each control string."""
+    def quoted(x: str) -> str:
+        return " || ".join("chr(10)" if c == "\n" else f"'{c}'" for c in x.partition("\n")[:2] if c)
+
+    controls = [c.removesuffix("\n") for c in chat.CONTROLS]
+    return " + ".join([f"(length({column}) - length(replace({column}, chr(92), '')))"] + [f"(length({column}) - length(replace({column}, {quoted(c)}, ''))) // {len(c)}" for c in controls])
+
+
+OP6_SQL = f"""
+WITH t AS (SELECT conv_id, turn, role, text FROM conversations
+           UNION ALL SELECT -1, k, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(k, r)),
+u AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM t),
+f AS (SELECT *, {len(chat.TURN + chat.TEXT + chat.END)} + length(r) + length(x) + {_escapes("r")} + {_escapes("x")} AS chars FROM u)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
+       sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn, r, x)) AS turns_sha256,
+       CAST(coalesce(sum(length(x)) FILTER (r = '{chat.LOSS_ROLE}'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(x, '' ORDER BY turn, r, x) FILTER (r = '{chat.LOSS_ROLE}'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+ORACLES = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
