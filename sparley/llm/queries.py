@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, quality_rules, warc
+from . import chat, mixing, near_dedup, quality_rules, warc
 from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -17,6 +17,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, folder)
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_chars", "base_failed", "kept")
@@ -36,6 +40,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat": op6_chat,
     "op8_mixing": op8_mixing,
@@ -142,4 +147,16 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM f GROUP BY conv_id"""
 
-ORACLES = {"op1_warc": OP1_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
+OP3_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{W}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, list_slice(ws, i, i + 4) AS x FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, CAST(len(ws) > 0 AS INT) + 1))) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM shared JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * k >= {near_dedup.LINK_PERCENT} * (p.n + q.n - k)),
+reach AS (SELECT doc_id AS v, doc_id AS r FROM documents UNION SELECT l.b, r FROM reach JOIN links l ON l.a = v),
+c AS (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.doc_id = d.doc_id"""
+
+ORACLES = {"op1_warc": OP1_SQL, "op3_near_dedup": OP3_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
