@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, near_dedup, quality_rules, warc
+from . import chat, mixing, near_dedup, quality_rules, sentencepiece, warc
 from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -17,6 +17,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(spark, folder)
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -40,6 +44,7 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc": op1_warc,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_near_dedup": op3_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat": op6_chat,

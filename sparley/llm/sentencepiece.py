@@ -138,11 +138,11 @@ def suffix_array(codes: np.ndarray, width: int) -> np.ndarray:
     _, rank = np.unique(codes, return_inverse=True)
     rank = rank.astype(np.int64) + 1
     done = 1
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     while done < width:
         key = rank * (int(rank.max()) + 1)
         key[:-done] += rank[done:]
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         step = np.empty(len(key), np.int64)
         step[0] = 1
@@ -229,7 +229,7 @@ def match_units(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarra
     of[begins[1:-1]] = 1
     start = begins[np.cumsum(of)]
     step = end - start[begin]
-    by = np.argsort(step, kind="stable")
+    by = np.argsort(step)
     begin, piece, end, step = begin[by], piece[by], end[by], step[by]
     last = np.full(len(codes) + 1, -1, np.int64)  # the last piece of the encoding up to here
     prior = np.full(len(codes) + 1, -1, np.int64)  # and where it begins
@@ -286,23 +286,31 @@ class Encoder:
             spaces = [len(u) - len(u.lstrip(" ")) for u in part]
             cores = [u[max(0, s - 1) :] if s < len(u) else "" for u, s in zip(part, spaces, strict=True)]
             ids, offsets = match_units(cores, self.pieces)
-            for u, s, core, a, b in zip(part, spaces, cores, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                own = ids[a:b]
-                if not core:
-                    own = np.array(self.run(s))
-                elif s > 1:
-                    joins = own[0] == self.space
-                    own = np.concatenate([self.run(s if joins else s - 1), own[1:] if joins else own])
-                if len(own) and (own == self.pieces.unknown).any():
-                    own = self._spell(u, own)
-                flat.append(own.astype(np.int32))
-                counts.append(len(own))
+            odd = np.zeros(len(part), bool)  # units that need more than their matched pieces
+            odd[[k for k, x in enumerate(spaces) if x > 1 or x == len(part[k])]] = True
+            odd[np.searchsorted(offsets, np.flatnonzero(ids == self.pieces.unknown), "right") - 1] = True
+            lengths, done = np.diff(offsets), 0
+            for k in np.flatnonzero(odd).tolist():
+                own = self._odd(part[k], spaces[k], ids[offsets[k] : offsets[k + 1]])
+                flat += [ids[done : offsets[k]].astype(np.int32), own.astype(np.int32)]
+                lengths[k], done = len(own), offsets[k + 1]
+            flat.append(ids[done:].astype(np.int32))
+            counts.append(lengths)
             begin = stop
         self.flat = np.concatenate(flat)
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.array(counts, np.int64))])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(np.concatenate(counts))])
         for u in units:
             self.known[u] = len(self.known)
 
+    def _odd(self, unit: str, spaces: int, ids: np.ndarray) -> np.ndarray:
+        """The pieces of a unit from those of its core, which has one leading space at most."""
+        if spaces == len(unit):
+            ids = np.array(self.run(spaces))
+        elif spaces > 1:
+            joins = ids[0] == self.space
+            ids = np.concatenate([self.run(spaces if joins else spaces - 1), ids[1:] if joins else ids])
+        return self._spell(unit, ids) if (ids == self.pieces.unknown).any() else ids
+
     def _spell(self, unit: str, ids: np.ndarray) -> np.ndarray:
         """ids with the characters that no piece has as the pieces of their bytes."""
         out, at = [], 0
