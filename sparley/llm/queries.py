@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, near_dedup, quality_rules, sentencepiece, warc
+from . import chat, licenses, mixing, near_dedup, quality_rules, sentencepiece, warc
 from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -42,6 +42,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
@@ -49,6 +53,7 @@ QUERIES = {
     "op5_quality_rules": op5_quality_rules,
     "op6_chat": op6_chat,
     "op8_mixing": op8_mixing,
+    "op9_licenses": op9_licenses,
 }
 
 _CHARS = "length(translate({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))"
@@ -164,4 +169,26 @@ c AS (SELECT v AS doc_id, min(r) AS component_id FROM reach GROUP BY v)
 SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN c ON c.doc_id = d.doc_id"""
 
-ORACLES = {"op1_warc": OP1_SQL, "op3_near_dedup": OP3_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
+
+
+def _canonical(text: str) -> str:
+    out = f"translate(coalesce({text}, ''), '{licenses.UPPER}', '{licenses.LOWER}')"
+    out = f"regexp_replace({out}, '{licenses.COPYRIGHT_LINE}', ' ', 'g')"
+    out = f"(' ' || trim(regexp_replace({out}, '{licenses.PUNCTUATION}', ' ', 'g'), ' '))"
+    for a, b in licenses.SPELLINGS:
+        out = f"replace({out}, '{a}', '{b}')"
+    return f"sha256(trim({out}, ' '))"
+
+
+_KNOWN = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.LICENSES)
+OP9_SQL = f"""
+WITH known AS (SELECT {_canonical("t")} AS digest, min(i) AS license_id FROM (VALUES {_KNOWN}) AS v(i, t) GROUP BY 1),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
+            FROM lines JOIN known ON {_canonical("line")} = digest
+            WHERE regexp_matches(translate(line, '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.SPEAKS}') GROUP BY doc_id),
+whole AS (SELECT doc_id, {_canonical("text")} AS text_digest FROM documents)
+SELECT whole.doc_id, text_digest, license_id, CAST(coalesce(n, 0) AS BIGINT) AS n_notices, coalesce(notices, '') AS notices
+FROM whole LEFT JOIN known ON digest = text_digest LEFT JOIN notices USING (doc_id)"""
+
+ORACLES = {"op9_licenses": OP9_SQL, "op1_warc": OP1_SQL, "op3_near_dedup": OP3_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
