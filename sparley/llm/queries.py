@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, mixing, near_dedup, quality_rules, sentencepiece, warc
+from . import chat, licenses, lm, mixing, near_dedup, quality_rules, sentencepiece, warc
 from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -46,6 +46,10 @@ def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
@@ -54,6 +58,7 @@ QUERIES = {
     "op6_chat": op6_chat,
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
+    "op10_lm": op10_lm,
 }
 
 _CHARS = "length(translate({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))"
