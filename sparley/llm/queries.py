@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, lm, mixing, near_dedup, quality_rules, sentencepiece, warc
+from . import ann, chat, licenses, lm, mixing, near_dedup, quality_rules, sentencepiece, warc
 from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -25,6 +25,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.group(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_chars", "base_failed", "kept")
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_near_dedup": op3_near_dedup,
+    "op4_ann": op4_ann,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat": op6_chat,
     "op8_mixing": op8_mixing,
