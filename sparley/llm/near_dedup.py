@@ -8,9 +8,11 @@
 3. Of what a class has left, all but MATCHES - 1 pairs are its prefix, rarest first: two
    classes that agree in MATCHES coordinates share a pair of their prefixes.
 4. Candidates are pairs from the prefix lists. Only groups are asked for, so a list is
-   merged around its leader first; pairs whose ends are in one group by then are skipped,
-   and every other pair of the list is compared: first the collisions of the whole
-   signatures, then the full sets.
+   merged around its leader first: collisions are counted over whole signatures, and the
+   pair is confirmed on the full sets. Where a list's classes are all in one group by then,
+   nothing is left to find.
+5. The classes of lists that still hold several groups meet once more under their rarest
+   shingles, which finds every link between them without pairing groups with themselves.
 
 At a similarity of 0.75 a pair agrees in fewer than 30 of 64 coordinates with a chance
 below 1e-6, and less above it.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import hashed_words, materialise, mix, slices
@@ -135,9 +137,9 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int = SHINGLE, perc
     """v and l of the classes (column cid) that link with others; None where none do."""
     posted = classes.select("cid", F.explode("sig").alias("pair"))
     common = posted.groupBy("pair").agg(F.count("*").alias("n")).filter("n > 1")
-    left = posted.join(common, "pair").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("pairs")).filter(F.size("pairs") >= matches)
+    left = posted.join(common, "pair").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("pairs"), F.sum("n").alias("central")).filter(F.size("pairs") >= matches)
     prefix = F.slice("pairs", F.lit(1), F.size("pairs") - (matches - 1))
-    lists = materialise(left.select("cid", F.explode(F.transform(prefix, lambda x: x.pair)).alias("pair")), "neardup-lists")
+    lists = materialise(left.select("cid", "central", F.explode(F.transform(prefix, lambda x: x.pair)).alias("pair")), "neardup-lists")
     candidates = materialise(classes.join(lists.select("cid").distinct(), "cid", "left_semi").select("cid", "rep", "fp", "sig"), "neardup-candidates")
     # Full sets of the candidates alone: a bounded broadcast of id buckets keeps most other texts out of the join.
     bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
@@ -145,14 +147,16 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int = SHINGLE, perc
     texts = docs.select("doc_id", "text").join(wanted, bucket("doc_id") == wanted.bucket, "left_semi").mapInArrow(_setter(words), SETS)
     ids = candidates.select("cid", "rep", F.col("fp").alias("own"))
     sets = texts.join(ids, texts.doc_id.eqNullSafe(ids.rep) & (texts.fp == ids.own)).dropDuplicates(["cid"]).select("cid", "shingles")
-    sets = materialise(sets, "neardup-sets")
+    sets = materialise(sets.withColumn("size", F.size("shingles")), "neardup-sets")
     signed = candidates.select("cid", "sig")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs a, b that agree in enough coordinates and link by their full sets."""
-        of = lambda x, c, name: x.select(F.col("cid").alias(c), F.col(x.columns[1]).alias(name))
-        near = pairs.join(of(signed, "a", "sa"), "a").join(of(signed, "b", "sb"), "b").filter(_same_coordinates("sa", "sb") >= matches).select("a", "b")
-        full = near.join(of(sets, "a", "xa"), "a").join(of(sets, "b", "xb"), "b")
+    def agreeing(pairs: DataFrame) -> DataFrame:
+        of = lambda c, name: signed.select(F.col("cid").alias(c), F.col("sig").alias(name))
+        return pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").filter(_same_coordinates("sa", "sb") >= matches).select("a", "b")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        of = lambda c, name: sets.select(F.col("cid").alias(c), F.col("shingles").alias(name))
+        full = pairs.join(of("a", "xa"), "a").join(of("b", "xb"), "b")
         both = F.size(F.array_intersect("xa", "xb"))
         return full.filter(100 * both >= percent * (F.size("xa") + F.size("xb") - both)).select("a", "b")
 
@@ -160,24 +164,45 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int = SHINGLE, perc
         found = components(edges)
         return candidates.select("cid").join(found, F.col("cid") == found.v, "left").select("cid", F.coalesce("l", "cid").alias("l"))
 
-    # Around leaders: each class meets the leader that most of its lists have.
-    leaders = lists.groupBy("pair").agg(F.min("cid").alias("b"))
-    met = lists.join(leaders, "pair").filter("cid <> b").groupBy("cid", "b").agg(F.count("*").alias("n"))
-    first = met.groupBy("cid").agg(F.max(F.struct("n", -F.col("b"))).alias("x")).select(F.col("cid").alias("a"), (-F.col("x")["col2"]).alias("b"))
-    edges = materialise(verified(first), "neardup-links")
-    for everything in (False, True):
-        labels = grouped(edges)
-        open_ = lists.join(labels, "cid")
-        mixed = open_.groupBy("pair").agg(F.min("l").alias("low"), F.max("l").alias("high"), F.min(F.struct("cid", "l")).alias("leader")).filter("low <> high")
-        if everything:  # all pairs of a list that are still in different groups
-            open_ = materialise(open_.join(mixed.select("pair"), "pair", "left_semi"), "neardup-open")
-            other = open_.select("pair", F.col("cid").alias("b"), F.col("l").alias("m"))
-            pairs = open_.join(other, "pair").filter("l < m").select(F.col("cid").alias("a"), "b")
-        else:
-            pairs = open_.join(mixed.select("pair", "leader"), "pair").filter("l <> leader.l").select(F.col("cid").alias("a"), F.col("leader.cid").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        edges = materialise(edges.unionByName(verified(pairs)), "neardup-links")
-    return components(edges)
+    # Around leaders: the class whose values are the most common ones leads a list. Each class
+    # meets the leader that most of its lists have, then, if still apart, its other leaders.
+    leaders = lists.groupBy("pair").agg(F.max(F.struct("central", "cid")).alias("x")).select("pair", F.col("x.cid").alias("b"))
+    met = materialise(lists.join(leaders, "pair").filter("cid <> b").groupBy(F.col("cid").alias("a"), "b").agg(F.count("*").alias("n")), "neardup-met")
+    first = met.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    edges = materialise(linked(agreeing(first)), "neardup-links")
+    labels = materialise(grouped(edges), "neardup-labels")
+    of = lambda c, name: labels.select(F.col("cid").alias(c), F.col("l").alias(name))
+    apart = met.join(of("a", "la"), "a").join(of("b", "lb"), "b").filter("la <> lb").select("a", "b")
+    edges = materialise(edges.unionByName(linked(agreeing(apart))), "neardup-links")
+    labels = materialise(grouped(edges), "neardup-labels")
+    # Lists that still hold several groups: all links between these, by the full sets.
+    mixed = lists.join(labels, "cid").groupBy("pair").agg(F.min("l").alias("low"), F.max("l").alias("high")).filter("low <> high").select("pair")
+    open_ = lists.join(mixed, "pair", "left_semi").select("cid").distinct()
+    rest = linked(_meeting(sets.join(open_, "cid", "left_semi").join(labels, "cid"), percent))
+    return components(edges.unionByName(rest))
+
+
+def _meeting(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b among sets (cid, shingles, size, l) of different groups l that can link.
+
+    Two sets that link share one of the rarest shingles of each: of size s, one of the
+    first s - ceil(s * percent / 100) + 1. Where in that order the shared one stands bounds
+    what the two have in common. In a shingle's list only those outside its largest group
+    look for partners, so a group of copies isn't paired with itself.
+    """
+    each = sets.select("cid", "l", "size", F.explode("shingles").alias("x"))
+    counts = each.groupBy("x").agg(F.count("*").alias("n"))
+    ranked = each.join(counts, "x").withColumn("at", F.row_number().over(Window.partitionBy("cid").orderBy("n", "x")))
+    prefix = ranked.filter((F.col("n") > 1) & (F.col("at") <= F.floor(F.col("size") * (100 - percent) / 100) + 1)).select("x", "cid", "l", "size", "at")
+    prefix = materialise(prefix, "neardup-prefix")
+    by_group = prefix.groupBy("x", "l").agg(F.count("*").alias("n"))
+    large = by_group.groupBy("x").agg(F.max(F.struct("n", "l")).alias("g"), F.count("*").alias("groups")).filter("groups > 1").select("x", F.col("g.l").alias("most"))
+    here = prefix.join(large, "x")
+    seekers = here.filter("l <> most").select("x", F.col("cid").alias("a"), F.col("l").alias("la"), F.col("size").alias("sa"), F.col("at").alias("ia"))
+    found = here.select("x", F.col("cid").alias("b"), F.col("l").alias("lb"), F.col("size").alias("sb"), F.col("at").alias("ib"))
+    possible = f"la <> lb AND {100 + percent} * (1 + least(sa - ia, sb - ib)) >= {percent} * (sa + sb)"
+    pairs = seekers.join(found, "x").filter(possible)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, matches: int = MATCHES) -> DataFrame:
