@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, licenses, lm, mixing, near_dedup, quality_rules, sentencepiece, warc
+from . import ann, chat, licenses, lm, mixing, near_dedup, quality_classifier, quality_rules, sentencepiece, warc
 from .common import fresh_dir, table
 
 W = r"[^\x20\x09-\x0D]+"
@@ -41,6 +41,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_digests(chat.format_conversations(turns.unionByName(own), fresh_dir(spark, "chat")))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_classifier.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "p_text", "p_meta", "p_quality", "kept")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return out.select("doc_id", "size", "source_size", "target", "taken")
@@ -61,6 +66,7 @@ QUERIES = {
     "op4_ann": op4_ann,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat": op6_chat,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_mixing": op8_mixing,
     "op9_licenses": op9_licenses,
     "op10_lm": op10_lm,
