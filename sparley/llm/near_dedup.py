@@ -218,3 +218,14 @@ def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, ma
     out = signed.join(by_set, signed.fp == by_set.of, "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of docs for each component, that of its smallest doc_id (of repeated rows
+    the one with the smallest text); rows with an empty set all stay. The same columns as docs."""
+    keys = docs.select("doc_id", "text")
+    found = group(keys).filter("kept").select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_component"), F.col("n_shingles").alias("_n")).distinct()
+    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")))
+    # Only ids that repeat need a choice; a window over the id alone keeps groups small.
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return kept.withColumn("_rank", F.when(F.col("_n") > 0, rank).otherwise(F.lit(1))).filter("_rank = 1").select(*docs.columns)

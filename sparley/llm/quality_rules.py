@@ -62,6 +62,12 @@ def _sum(numbers: Column) -> Column:
     return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
+def _once(value: Column) -> Column:
+    """value, as a column that the optimiser neither copies into the lambdas that read it
+    nor pushes below a filter, where it would be computed again for every element."""
+    return F.when(F.monotonically_increasing_id() >= 0, value)
+
+
 def judge(docs: DataFrame) -> DataFrame:
     """docs and the columns n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     kept_chars, clean_text, base_failed and kept.
@@ -69,22 +75,22 @@ def judge(docs: DataFrame) -> DataFrame:
     The text must be in a column `text`; columns of those names are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    a = docs.select("*", word_hashes(F.col("text")).alias("_h"), F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("_lines"))
+    a = docs.select("*", _once(word_hashes(F.col("text"))).alias("_h"), F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("_lines"))
     # Three-word windows, as one hash each.
     n = F.size("_h")
     windows = F.when(n >= 3, F.transform(F.slice("_h", 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("_h", i + 1), F.get("_h", i + 2)))).otherwise(F.array().cast("array<bigint>"))
-    b = a.select("*", windows.alias("_w"))
+    b = a.select("*", _once(windows).alias("_w"))
     # Only where a window recurs: sort windows with their positions, so that equal ones are neighbours.
     order = F.when(
         F.size(F.array_distinct("_w")) < F.size("_w"),
         F.sort_array(F.transform("_w", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     )
-    c = b.select("*", order.alias("_s"))
+    c = b.select("*", _once(order).alias("_s"))
     again = F.filter(
         F.transform("_s", lambda x, j: F.when((x.h == F.get("_s", j - 1).h) | (x.h == F.get("_s", j + 1).h), x.i)),
         lambda i: i.isNotNull(),
     )
-    d = c.select("*", F.sort_array(again).alias("_p"))
+    d = c.select("*", _once(F.sort_array(again)).alias("_p"))
     repeats = _sum(F.transform("_p", lambda x, j: F.least(F.lit(3), F.coalesce(F.get("_p", j + 1) - x, F.lit(3))).cast("long")))
     chars = lambda x: F.length(F.translate(x, WHITE, "")).cast("long")
     cleaned = F.filter(F.split(F.col("text"), "\n"), lambda x: ~x.rlike(WORD) | line_passes(x))
@@ -96,7 +102,7 @@ def judge(docs: DataFrame) -> DataFrame:
         "n_repeat_words": F.coalesce(repeats, F.lit(0)).cast("long"),
         "clean_text": F.array_join(cleaned, "\n"),
     }
-    e = d.withColumns(new)
+    e = d.withColumns({k: _once(v) for k, v in new.items()})
     e = e.withColumn("kept_chars", F.coalesce(chars(F.col("clean_text")), F.lit(0).cast("long")))
     e = e.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     e = e.withColumn("kept", ~F.col("base_failed") & (F.col("kept_chars") >= LEAST_KEPT * F.col("word_chars")))

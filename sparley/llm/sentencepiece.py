@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import slices, worker_cache
 
@@ -366,9 +367,10 @@ def _encoder(pieces: Pieces, key: str):
             ids, offsets = encoder.encode(texts)
             flat, cuts = ids.tolist(), offsets.tolist()
             same = [decoder.decode(flat[a:b]) == (t or "") for t, a, b in zip(texts, cuts[:-1], cuts[1:], strict=True)]
+            carried = [n for n in batch.schema.names if n not in ("doc_id", "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)), pa.array(same, pa.bool_())],
-                ["doc_id", "n_pieces", "piece_ids", "round_trip"],
+                [batch.column("doc_id").cast(pa.int64()), *map(batch.column, carried), pa.array(np.diff(offsets)), pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids)), pa.array(same, pa.bool_())],
+                ["doc_id", *carried, "n_pieces", "piece_ids", "round_trip"],
             )
 
     return encode
@@ -384,10 +386,13 @@ def _decoder(pieces: Pieces):
     return decode
 
 
-def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id, n_pieces, piece_ids, round_trip (whether decoding gives the text) of doc_id and text."""
+def encode(docs: DataFrame, model: str = MODEL, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns to carry along, n_pieces, piece_ids and round_trip (whether
+    decoding gives the text back) of doc_id and text."""
     pieces = load(model)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_encoder(pieces, model), "doc_id long, n_pieces long, piece_ids array<int>, round_trip boolean")
+    kept = docs.select(F.col("doc_id").cast("long"), *carry, "text")
+    made = [T.StructField("n_pieces", T.LongType()), T.StructField("piece_ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())]
+    return kept.mapInArrow(_encoder(pieces, model), T.StructType([*kept.drop("text").schema.fields, *made]))
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
