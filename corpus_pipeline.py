@@ -1,4 +1,62 @@
-STAGES = []
+"""A corpus pipeline of llm operators: documents in, encoded training documents out.
+
+Every stage takes (spark, docs, sf_dir) and works on all rows that it is given; all but
+the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from sparley.llm import mixing, near_dedup, quality_classifier, quality_rules, sentencepiece
+from sparley.llm.common import fresh_dir, table
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    return quality_classifier.keep(docs, table(spark, sf_dir, "labels"))
+
+
+def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules, without the lines that fail."""
+    return quality_rules.clean(docs)
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: the one with the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, to the nearest whole number."""
+    return mixing.repeat(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, lang and the SentencePiece ids of each document."""
+    return sentencepiece.encode(docs, carry=("source", "lang"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", classify),
+    ("quality_rules", clean),
+    ("near_dedup", dedup),
+    ("mixing", mix),
+    ("sentencepiece", encode),
+]
+
+#: Classifier weights, MinHash and piece merges aren't expressible in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    return None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            path = fresh_dir(spark, f"pipeline-{name}")
+            docs.write.parquet(path)
+            docs = spark.read.parquet(path)
+    return docs
