@@ -40,28 +40,24 @@ END = np.uint64(0x0123456789ABCDEF)
 SPILL = 4 << 20
 
 _U = np.uint64
-_BYTE_ONES = np.bitwise_count(np.arange(256, dtype=np.uint8)).astype(np.int64)
-_BYTE_SELECT = np.array([[([b for b in range(8) if x >> b & 1] + [0] * 8)[k] for k in range(8)] for x in range(256)], np.int64)
+_BYTE_SELECT = np.array([([b for b in range(8) if x >> b & 1] + [0] * 8)[k] for x in range(256) for k in range(8)], np.int64)
+_EACH, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
 
 
 def _select(words: np.ndarray, sums: np.ndarray, k: np.ndarray, flip: bool) -> np.ndarray:
-    """Places of the k-th ones (zeros, if flip) of a bit vector; sums: those before each eight words."""
-    block = np.searchsorted(sums, k, "right") - 1
-    rest = k - sums[block]
-    eight = words.reshape(-1, 8)[block]
+    """Places of the k-th ones (zeros, if flip) of a bit vector; sums: those before each word."""
+    word = np.searchsorted(sums, k, "right") - 1
+    rest = (k - sums[word]).astype(_U)
+    x = words[word]
     if flip:
-        eight = ~eight
-    at = np.arange(len(k))
-
-    def step(counts: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        upto = np.cumsum(counts, axis=1)
-        j = (upto <= rest[:, None]).sum(axis=1)
-        return j, rest - np.where(j > 0, upto[at, np.maximum(j - 1, 0)], 0)
-
-    j, rest = step(np.bitwise_count(eight).astype(np.int64), rest)
-    octets = np.ascontiguousarray(eight[at, j]).view(np.uint8).reshape(-1, 8)
-    b, rest = step(_BYTE_ONES[octets], rest)
-    return (block * 8 + j) * 64 + b * 8 + _BYTE_SELECT[octets[at, b], rest]
+        x = ~x
+    # Ones up to and with each byte, in the bytes of one number; then the byte that holds the wanted one.
+    s = x - ((x >> _U(1)) & _U(0x5555555555555555))
+    s = (s & _U(0x3333333333333333)) + ((s >> _U(2)) & _U(0x3333333333333333))
+    s = ((s + (s >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _EACH
+    bits = ((((rest * _EACH | _TOPS) - s & _TOPS) >> _U(7)) * _EACH >> _U(56)) << _U(3)
+    rest -= (s << _U(8)) >> bits & _U(255)
+    return word * 64 + bits.astype(np.int64) + _BYTE_SELECT[((x >> bits & _U(255)) << _U(3) | rest).astype(np.int64)]
 
 
 class EliasFano:
@@ -87,12 +83,12 @@ class EliasFano:
             low[word[over] + 1] += part[over] >> (_U(64) - offset[over])
         place = (values >> _U(bits)).astype(np.int64) + np.arange(n)
         length = (int(place[-1]) if n else 0) + 2
-        flags = np.zeros(-(-length // 512) * 512, np.uint8)
+        flags = np.zeros(-(-length // 64) * 64, np.uint8)
         flags[place] = 1
         high = np.packbits(flags, bitorder="little").view(_U)
-        counts = np.bitwise_count(high).reshape(-1, 8).sum(axis=1, dtype=np.int64)
-        ones = np.concatenate([[0], np.cumsum(counts)])
-        return cls(n, bits, low, high, ones, np.arange(len(ones)) * 512 - ones)
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)])
+        kind = np.int32 if len(ones) < 1 << 25 else np.int64
+        return cls(n, bits, low, high, ones.astype(kind), (np.arange(len(ones)) * 64 - ones).astype(kind))
 
     def arrays(self, name: str) -> dict[str, np.ndarray]:
         return {f"{name}.size": np.array([self.n, self.bits]), f"{name}.low": self.low, f"{name}.high": self.high, f"{name}.ones": self.ones, f"{name}.zeros": self.zeros}
@@ -157,7 +153,7 @@ def mapped(uri: str) -> dict[str, np.ndarray]:
     if uri not in kept:
         files, path = open_fs(uri)
         if files.type_name == "local":
-            data = np.memmap(path, np.uint8, "r")
+            data = np.asarray(np.memmap(path, np.uint8, "r"))
         else:
             with files.open_input_file(path) as file:
                 data = np.frombuffer(file.read(), np.uint8)
@@ -209,7 +205,7 @@ class Trie:
         return np.minimum(np.searchsorted(self.words, ids, "right") - 1, self.shards - 1)
 
     def _by_shard(self, shard: np.ndarray, there: Callable[[int, np.ndarray], None]) -> None:
-        order = np.argsort(shard, kind="stable")
+        order = np.argsort(shard.astype(np.uint16) if self.shards <= 1 << 16 else shard, kind="stable")
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(shard[order])) + 1, [len(order)]])
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             if b > a:
