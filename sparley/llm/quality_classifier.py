@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 
 from .common import buffers, hashed_words, slices
 
-LABELLED, UNLABELLED = 6000, 4000
-ROUNDS, SURE, A_ROUND = 4, 0.98, 300
+LABELLED, UNLABELLED = 4000, 2000
+ROUNDS, SURE, A_ROUND = 4, 0.98, 200
 THRESHOLD = 0.5
 WORD_BUCKETS = 1 << 15
 BYTE_PAIRS = 1 << 16
@@ -92,13 +92,15 @@ def metadata(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 30) -> np.ndarray:
-    """Coefficients, the constant first, by Newton's method."""
-    x = np.column_stack([np.ones(len(x)), x])
+    """Coefficients, the constant first, by Newton's method on columns of equal spread."""
+    spread = np.maximum(x.std(axis=0), 1e-9)
+    x = np.column_stack([np.ones(len(x)), x / spread])
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         gradient = x.T @ (p - y) + ridge * w
         w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), gradient)
+    w[1:] /= spread
     return w
 
 
@@ -200,7 +202,7 @@ def fit(sample: Sample, rounds: int = ROUNDS, sure: float = SURE, a_round: int =
     return model
 
 
-_FEATURES = "doc_id long, words array<int>, word_shares array<float>, pairs array<int>, pair_shares array<float>, meta array<string>, label int, shrunk array<double>, repetition array<double>"
+_FEATURES = "doc_id long, words binary, word_shares binary, pairs binary, pair_shares binary, meta array<string>, label int, shrunk array<double>, repetition array<double>"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +210,9 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, shares = [], []
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
             v, n = np.unique(values[a:b], return_counts=True)
-            cells.append(v.astype(np.int32))
-            shares.append((n / max(b - a, 1)).astype(np.float32))
-        return pa.array(cells, pa.list_(pa.int32())), pa.array(shares, pa.list_(pa.float32()))
+            cells.append(v.astype(np.int32).tobytes())
+            shares.append((n / max(b - a, 1)).astype(np.float32).tobytes())
+        return pa.array(cells, pa.binary()), pa.array(shares, pa.binary())
 
     for batch in slices(batches, "text"):
         words, word_offsets, pairs, pair_offsets = text_features(batch.column("text"))
@@ -229,9 +231,14 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     pool = ids.distinct().join(marks, "doc_id", "left_anti").orderBy(order, "doc_id").limit(unlabelled).select("doc_id", F.lit(-1).alias("label"))
     chosen = F.broadcast(known.select("doc_id", "label").unionByName(pool))  # at most labelled + unlabelled rows
     names = [c for c in META if c in docs.columns]
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *names).join(chosen, "doc_id").mapInArrow(_features, _FEATURES).dropDuplicates(["doc_id"]).orderBy(order, "doc_id").collect()
-    kinds = (np.int64, np.float64) * 2
-    return fit(Sample([(*(np.array(row[k + 1], t) for k, t in enumerate(kinds)), row["meta"], row["label"], *row["shrunk"], row["repetition"]) for row in rows]))
+    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *names).join(chosen, "doc_id")
+    kinds, rows = (np.int32, np.float32) * 2, {}
+    for row in marked.mapInArrow(_features, _FEATURES).collect():
+        features = (*(np.frombuffer(row[k + 1], t) for k, t in enumerate(kinds)), row["meta"], row["label"], *row["shrunk"], row["repetition"])
+        key = (row["doc_id"], features[0].tobytes(), features[2].tobytes())
+        if row["doc_id"] not in rows or key < rows[row["doc_id"]][0]:  # of an id that repeats, always the same row
+            rows[row["doc_id"]] = key, features
+    return fit(Sample([rows[k][1] for k in sorted(rows, key=lambda i: (i * 0x9E3779B97F4A7C15 & (1 << 64) - 1, i))]))
 
 
 def _scorer(model: Model, threshold: float):
