@@ -126,9 +126,10 @@ def apportion(parties: DataFrame, by: str, votes: str, seats: str, order: str) -
 def repeat(docs: DataFrame, **options) -> DataFrame:
     """Each row of docs as often as the mix takes its words, to the nearest whole number of
     times: not at all, once or more. The same columns as docs; documents stay whole."""
-    times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("_times")
-    taken = mix(docs.select("doc_id", "text", "source"), **options).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "size", times)
-    taken = taken.filter("_times > 0").groupBy("_id", "_source", "size").agg(F.max("_times").alias("_times"))
-    own = docs.withColumn("_size", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    joined = own.join(taken, own["doc_id"].eqNullSafe(F.col("_id")) & own["source"].eqNullSafe(F.col("_source")) & (F.col("_size") == F.col("size")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    times = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int").alias("__mix_times")
+    taken = mix(docs.select("doc_id", "text", "source"), **options).select(F.col("doc_id").alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size"), times)
+    taken = taken.filter("__mix_times > 0").groupBy("__mix_id", "__mix_source", "__mix_size").agg(F.max("__mix_times").alias("__mix_times"))
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    same = F.col("doc_id").eqNullSafe(F.col("__mix_id")) & F.col("source").eqNullSafe(F.col("__mix_source")) & (F.col("__mix_own") == F.col("__mix_size"))
+    joined = docs.withColumn("__mix_own", size).join(taken, same)
+    return joined.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(*docs.columns)

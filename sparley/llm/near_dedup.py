@@ -209,7 +209,7 @@ def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, ma
     """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
     signed = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_signer(words), SIGNATURE), "neardup-signatures")
     some = signed.filter("fp IS NOT NULL")
-    classes = some.groupBy("fp").agg(F.min(F.struct("doc_id", "sig")).alias("x")).select("fp", F.col("x.doc_id").alias("rep"), F.col("x.sig").alias("sig"), F.monotonically_increasing_id().alias("cid"))
+    classes = some.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("x")).select("fp", F.col("x.doc_id").alias("rep"), F.col("x.sig").alias("sig"), F.monotonically_increasing_id().alias("cid"))
     classes = materialise(classes, "neardup-classes")
     links = link_classes(docs.select(F.col("doc_id").cast("long"), "text"), classes, words, percent, matches)
     named = classes.select("cid", "fp", "rep").join(links, F.col("cid") == links.v, "left").select("fp", "rep", F.coalesce("l", "cid").alias("l"))
@@ -224,8 +224,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of docs for each component, that of its smallest doc_id (of repeated rows
     the one with the smallest text); rows with an empty set all stay. The same columns as docs."""
     keys = docs.select("doc_id", "text")
-    found = group(keys).filter("kept").select(F.col("doc_id").alias("_id"), F.col("component_id").alias("_component"), F.col("n_shingles").alias("_n")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")))
+    found = group(keys).filter("kept").select(F.col("doc_id").alias("__dup_id"), F.col("n_shingles").alias("__dup_n")).distinct()
+    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__dup_id")))
     # Only ids that repeat need a choice; a window over the id alone keeps groups small.
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("_rank", F.when(F.col("_n") > 0, rank).otherwise(F.lit(1))).filter("_rank = 1").select(*docs.columns)
+    return kept.withColumn("__dup_rank", F.when(F.col("__dup_n") > 0, rank).otherwise(F.lit(1))).filter("__dup_rank = 1").select(*docs.columns)

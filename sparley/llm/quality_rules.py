@@ -75,30 +75,30 @@ def judge(docs: DataFrame) -> DataFrame:
     The text must be in a column `text`; columns of those names are replaced.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    a = docs.select("*", _once(word_hashes(F.col("text"))).alias("_h"), F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("_lines"))
+    a = docs.select("*", _once(word_hashes(F.col("text"))).alias("__rules_h"), F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)).alias("__rules_lines"))
     # Three-word windows, as one hash each.
-    n = F.size("_h")
-    windows = F.when(n >= 3, F.transform(F.slice("_h", 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("_h", i + 1), F.get("_h", i + 2)))).otherwise(F.array().cast("array<bigint>"))
-    b = a.select("*", _once(windows).alias("_w"))
+    n = F.size("__rules_h")
+    windows = F.when(n >= 3, F.transform(F.slice("__rules_h", 1, F.greatest(n - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get("__rules_h", i + 1), F.get("__rules_h", i + 2)))).otherwise(F.array().cast("array<bigint>"))
+    b = a.select("*", _once(windows).alias("__rules_w"))
     # Only where a window recurs: sort windows with their positions, so that equal ones are neighbours.
     order = F.when(
-        F.size(F.array_distinct("_w")) < F.size("_w"),
-        F.sort_array(F.transform("_w", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
+        F.size(F.array_distinct("__rules_w")) < F.size("__rules_w"),
+        F.sort_array(F.transform("__rules_w", lambda h, i: F.struct(h.alias("h"), i.alias("i")))),
     )
-    c = b.select("*", _once(order).alias("_s"))
+    c = b.select("*", _once(order).alias("__rules_s"))
     again = F.filter(
-        F.transform("_s", lambda x, j: F.when((x.h == F.get("_s", j - 1).h) | (x.h == F.get("_s", j + 1).h), x.i)),
+        F.transform("__rules_s", lambda x, j: F.when((x.h == F.get("__rules_s", j - 1).h) | (x.h == F.get("__rules_s", j + 1).h), x.i)),
         lambda i: i.isNotNull(),
     )
-    d = c.select("*", _once(F.sort_array(again)).alias("_p"))
-    repeats = _sum(F.transform("_p", lambda x, j: F.least(F.lit(3), F.coalesce(F.get("_p", j + 1) - x, F.lit(3))).cast("long")))
+    d = c.select("*", _once(F.sort_array(again)).alias("__rules_p"))
+    repeats = _sum(F.transform("__rules_p", lambda x, j: F.least(F.lit(3), F.coalesce(F.get("__rules_p", j + 1) - x, F.lit(3))).cast("long")))
     chars = lambda x: F.length(F.translate(x, WHITE, "")).cast("long")
     cleaned = F.filter(F.split(F.col("text"), "\n"), lambda x: ~x.rlike(WORD) | line_passes(x))
     new = {
         "n_words": n.cast("long"),
         "word_chars": chars(text),
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "n_dup_lines": (F.size("__rules_lines") - F.size(F.array_distinct("__rules_lines"))).cast("long"),
         "n_repeat_words": F.coalesce(repeats, F.lit(0)).cast("long"),
         "clean_text": F.array_join(cleaned, "\n"),
     }
@@ -106,13 +106,15 @@ def judge(docs: DataFrame) -> DataFrame:
     e = e.withColumn("kept_chars", F.coalesce(chars(F.col("clean_text")), F.lit(0).cast("long")))
     e = e.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
     e = e.withColumn("kept", ~F.col("base_failed") & (F.col("kept_chars") >= LEAST_KEPT * F.col("word_chars")))
-    return e.drop("_h", "_lines", "_w", "_s", "_p")
+    return e.drop("__rules_h", "__rules_lines", "__rules_w", "__rules_s", "__rules_p")
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that pass, without the lines that fail; the same columns as docs."""
-    names = docs.columns
-    out = judge(docs).filter("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*names)
+    """The documents that pass, without the lines that fail; the same columns as docs, n_chars
+    counted anew."""
+    rows = docs.select(F.struct(*docs.columns).alias("__rules_row"), "text")
+    out = judge(rows).filter("kept")
+    own = {c: F.col("__rules_row")[c] for c in docs.columns} | {"text": F.col("clean_text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*(value.alias(c) for c, value in own.items()))
