@@ -111,7 +111,7 @@ def phase6(s: DataFrame, d: DataFrame) -> DataFrame:
 
 
 def phase7(s: DataFrame, d: DataFrame) -> DataFrame:
-    off = pairs.recount(s, d, "meeting_id", "speech_order", "role").agg(F.count_if("difference <> 0").alias("n"))
+    off = pairs.recount(s, d, "meeting_id", "speech_order", "role").agg(F.count_if(F.col("difference") != 0).alias("n"))
     own = d.agg(F.count_if(F.col("leg_name") == F.col("witness_name")).alias("n"))
     ratio = d.groupBy("meeting_id").agg(F.count("*").alias("n"), F.avg((F.col("direction") == "question").cast("double")).alias("q")).filter("n >= 10 AND (q < 0.2 OR q > 0.8)").agg(F.count("*").alias("n"))
     lost = joins.orphans(d.select("meeting_id").distinct(), s, "meeting_id").agg(F.count("*").alias("n"))
