@@ -138,10 +138,19 @@ def leading_digits(df: DataFrame, value: str | Column) -> DataFrame:
 
 
 def middle(df: DataFrame, value: str, *ties: str) -> DataFrame:
-    """The row in the middle by a number (the later of two)."""
-    n = df.count()
-    ranked = df.orderBy(value, *ties).limit(n // 2 + 1)
-    return ranked.orderBy(F.desc(value), *(F.desc(t) for t in ties)).limit(1)
+    """The row in the middle by a number (the later of two); ties order it in full.
+
+    The sort is spread over tasks; a row's place is its place in its partition and the
+    sizes of those before it, one number for each partition.
+    """
+    ordered = df.orderBy(value, *ties).withColumn("_at", F.monotonically_increasing_id())
+    sizes = sorted((r["p"], r["n"]) for r in ordered.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count("*").alias("n")).collect())
+    left = sum(n for _, n in sizes) // 2
+    for part, n in sizes:
+        if left < n:
+            return ordered.filter(F.col("_at") == (part << 33) + left).drop("_at")
+        left -= n
+    return df.limit(0)
 
 
 def hash_sample(df: DataFrame, key: str, k: int) -> DataFrame:

@@ -388,6 +388,55 @@ def committee_harmonize(spark, sf_dir):
     return rows.select("p_partkey", rules.committee_key("c", (("Brand#11", "first"), ("Brand#12", "second"))).alias("committee_key"), joined("p_name", "p_type").alias("label"))
 
 
+_LABELS = ("김부겸 위원장", "여성가족부 장관", "홍길동 의원입니다", "나 위원", "국회사무처")
+
+
+@query(f"""
+WITH t AS (SELECT s_suppkey, {_sample('s_suppkey', ('', None, 'nan', '이름'))} AS n, {_sample('s_suppkey', _LABELS)} AS s FROM supplier)
+SELECT s_suppkey, CASE WHEN n IS NULL OR trim(n) IN ('', 'nan') THEN coalesce(nullif(regexp_extract(s, '^([가-힣]{{2,4}})\\s+(위원장|위원|의원|장관)', 1), ''), n) ELSE n END AS person_name FROM t""")
+def name_recovery(spark, sf_dir):
+    rows = read(spark, sf_dir, "supplier").select("s_suppkey", F.expr(_sample("s_suppkey", ("", None, "nan", "이름"))).alias("n"), F.expr(_sample("s_suppkey", _LABELS)).alias("s"))
+    return rows.select("s_suppkey", rules.recover_name("n", "s").alias("person_name"))
+
+
+_TITLES = ("대리", "차관", None, "반장", "국장 직무")
+
+
+@query(f"""
+WITH t AS (SELECT s_suppkey, {_sample('s_suppkey', _TITLES)} AS t, {_sample('s_suppkey', _PLACES)} AS a FROM supplier),
+u AS (SELECT *, t IS NOT NULL AND t NOT IN ({', '.join(map(repr, V.PERSON_TITLES))}) AS bad FROM t)
+SELECT s_suppkey, CASE WHEN NOT bad THEN t END AS title, CASE WHEN bad THEN trim(t || ' ' || coalesce(a, '')) ELSE a END AS affiliation FROM u""")
+def title_move(spark, sf_dir):
+    rows = read(spark, sf_dir, "supplier").select("s_suppkey", F.expr(_sample("s_suppkey", _TITLES)).alias("t"), F.expr(_sample("s_suppkey", _PLACES)).alias("a"))
+    return rows.select("s_suppkey", rules.move_bad_title("t", "a").alias("r")).select("s_suppkey", "r.title", "r.affiliation")
+
+
+_UID = _sample("c_custkey", ("7407_A", "806_B", "55", None))
+
+
+@query(f"""
+WITH t AS (SELECT c_custkey, {_UID} AS u, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS party FROM customer),
+m AS (SELECT u, party FROM (SELECT u, party, row_number() OVER (PARTITION BY u ORDER BY count(*) DESC, party) AS r FROM t WHERE party IS NOT NULL AND u IN ('7407_A', '806_B') GROUP BY u, party) WHERE r = 1)
+SELECT c_custkey, CASE WHEN t.party IS NOT NULL THEN coalesce(m.party, t.party) END AS party FROM t LEFT JOIN m ON t.u = m.u""")
+def homogenize_modes(spark, sf_dir):
+    party = F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment"))
+    rows = read(spark, sf_dir, "customer").select("c_custkey", F.expr(_UID).alias("member_uid"), party.alias("party"))
+    return rules.homogenize(rows, ["party"]).select("c_custkey", "party")
+
+
+_BANDS = _sample("c_custkey", ("minister", "witness", "agency_head", None))
+
+
+@query(f"""
+WITH t AS (SELECT c_custkey, {_BANDS} AS r, {_sample('c_custkey', ('법부무', '여성부', '한국은행', '졍종환', ''))} AS a, {_sample('c_custkey', ('백영희', '정종환', None))} AS n, {_sample('c_custkey', ('', '여', '야', None))} AS s FROM customer)
+SELECT c_custkey, CASE WHEN r IN ('minister', 'agency_head') THEN CASE a WHEN '법부무' THEN '법무부' WHEN '여성부' THEN '여성가족부' WHEN '졍종환' THEN a END END AS ministry,
+       CASE n WHEN '백영희' THEN '백희영' ELSE n END AS person_name, nullif(s, '') AS ruling_status FROM t""")
+def panel_cleaning(spark, sf_dir):
+    """Ministries of government roles alone, misspelt names, empty party status."""
+    rows = read(spark, sf_dir, "customer").select("c_custkey", F.expr(_BANDS).alias("r"), F.expr(_sample("c_custkey", ("법부무", "여성부", "한국은행", "졍종환", ""))).alias("a"), F.expr(_sample("c_custkey", ("백영희", "정종환", None))).alias("n"), F.expr(_sample("c_custkey", ("", "여", "야", None))).alias("s"))
+    return rows.select("c_custkey", rules.ministry_of("r", "a").alias("ministry"), rules.fix_name("n").alias("person_name"), F.nullif(F.col("s"), F.lit("")).alias("ruling_status"))
+
+
 # Joins and versions
 
 
@@ -501,6 +550,15 @@ def term_range(spark, sf_dir):
     return audit.out_of_range(read(spark, sf_dir, "orders"), "o_orderstatus", "o_orderdate", ranges)
 
 
+@query(f"""
+WITH {_PAIRS}, s AS (SELECT CASE role WHEN 'user' THEN 'legislator' WHEN 'assistant' THEN 'witness' ELSE 'committee_staff' END AS role, conv_id FROM conversations)
+SELECT 'speech_term' AS "check", (16 + conv_id % 7)::VARCHAR AS key, count(*) AS n FROM s GROUP BY 2 UNION ALL SELECT 'speech_hearing_type', '상임위원회', count(*) FROM s UNION ALL SELECT 'speech_role', role, count(*) FROM s GROUP BY 2
+UNION ALL SELECT 'committee_key', 'political_affairs', count(*) FROM s UNION ALL SELECT 'dyad_term', (16 + conv_id % 7)::VARCHAR, count(*) FROM dy GROUP BY 2 UNION ALL SELECT 'dyad_witness_role', 'witness', count(*) FROM dy
+UNION ALL SELECT 'dyad_direction', direction, count(*) FROM dy GROUP BY 2""")
+def report_distributions(spark, sf_dir):
+    return validation.distributions(*_transcript(spark, sf_dir))
+
+
 def _transcript(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Conversations in the schema of speeches, and the dyads formed of them."""
     role = first_match([(F.col("role") == "user", "legislator"), (F.col("role") == "assistant", "witness")], "committee_staff")

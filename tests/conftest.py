@@ -46,6 +46,6 @@ def oracle_rows(sql: str) -> list[tuple]:
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     names = sorted(table.column_names)
     return sorted((tuple(plain(v) for v in r) for r in zip(*(table.column(n).to_pylist() for n in names), strict=True)), key=repr)

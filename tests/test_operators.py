@@ -127,3 +127,22 @@ def test_build_and_checks(spark, tmp_path):
     assert datasets.write_report(validation.validate(s, d), str(tmp_path / "report.json")) == 1
     assert json.loads((tmp_path / "report.json").read_text())["summary"]["FAIL"] >= 1
     assert audit.audit(s, d).filter("check = 'CRITICAL'").count() == 0
+
+
+def test_stream_appends_new_meetings_once(spark, tmp_path):
+    from sparley.streaming import append
+
+    schema = "meeting_id string, speech_order string, role string"
+    source, table, derived = str(tmp_path / "in"), str(tmp_path / "table"), str(tmp_path / "dyads")
+    make = {derived: lambda df: pairs.dyads(df, "meeting_id", "speech_order", "role")}
+
+    def take():
+        append.run(spark.readStream.schema(schema).parquet(source), table, "meeting_id", str(tmp_path / "state"), make).awaitTermination()
+
+    spark.createDataFrame([("a", "1", L), ("a", "2", N)], schema).coalesce(1).write.parquet(source)
+    take()
+    spark.createDataFrame([("a", "1", L), ("b", "1", N), ("b", "2", L)], schema).coalesce(1).write.mode("append").parquet(source)
+    take()
+    take()
+    assert rows_of(spark.read.parquet(table).groupBy("meeting_id").count()) == [(2, "a"), (2, "b")]
+    assert spark.read.parquet(derived).count() == 2
