@@ -38,8 +38,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Ends a unit in the indexed text; larger than any character.
 GAP = 0x110000
-INDEX_CHARS = 1 << 19
-CACHED_UNITS = 400_000
+INDEX_CHARS = 1 << 20
+CACHED_UNITS = 1_200_000
 
 
 @dataclass
@@ -216,19 +216,20 @@ def match_units(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarra
     rows, low, high = find_pieces(codes, order, pieces)
     counts = high - low
     first = np.concatenate([[0], np.cumsum(counts)])
-    which = np.repeat(np.arange(len(rows)), counts)
-    begin = order[np.arange(first[-1]) - first[which] + low[which]]
-    piece, length = pieces.ids[rows][which], pieces.lengths[rows][which]
+    which = np.repeat(np.arange(len(rows), dtype=np.int32), counts)
+    begin = order.astype(np.int32)[np.arange(first[-1]) + (low - first[:-1])[which]]
+    piece, length = pieces.ids[rows].astype(np.int32)[which], pieces.lengths[rows].astype(np.int32)[which]
+    del which, order
     known = codes == GAP
     known[begin[length == 1]] = True
-    lone = np.flatnonzero(~known)
+    lone = np.flatnonzero(~known).astype(np.int32)
     begin = np.concatenate([begin, lone])
-    piece = np.concatenate([piece, np.full(len(lone), pieces.unknown)])
-    end = begin + np.concatenate([length, np.ones(len(lone), np.int64)])
+    piece = np.concatenate([piece, np.full(len(lone), pieces.unknown, np.int32)])
+    end = begin + np.concatenate([length, np.ones(len(lone), np.int32)])
     # Steps: edges by the place of their end within its unit, all units at once.
     of = np.zeros(len(codes) + 1, np.int64)
     of[begins[1:-1]] = 1
-    start = begins[np.cumsum(of)]
+    start = begins.astype(np.int32)[np.cumsum(of)]
     step = end - start[begin]
     by = np.argsort(step)
     begin, piece, end, step = begin[by], piece[by], end[by], step[by]
@@ -236,7 +237,7 @@ def match_units(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarra
     prior = np.full(len(codes) + 1, -1, np.int64)  # and where it begins
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(step)) + 1, [len(step)]]) if len(step) else np.zeros(1, np.int64)
     for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-        b, p, e = begin[x:y], piece[x:y], end[x:y]
+        b, p, e = begin[x:y].astype(np.int64), piece[x:y].astype(np.int64), end[x:y]
         here = last[b]
         opens = b == start[b]
         fits = opens.copy()
