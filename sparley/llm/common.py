@@ -34,8 +34,20 @@ def shared_dir(spark: SparkSession) -> str:
     return "file:///tmp/checkpoints/sparley"
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    return f"{shared_dir(spark)}/sparley-{spark.sparkContext.applicationId}"
+
+
 def fresh_dir(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    return f"{own_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Deletes all intermediate tables of this application. Results that still read them
+    have to be written before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, what: str) -> DataFrame:
@@ -85,7 +97,7 @@ def buffers(column) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches' rows, in pieces of about `most` bytes of one string column."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -141,7 +153,7 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return begins, ends, np.searchsorted(offsets, begins, "right") - 1
 
 
-def hash_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, most: int = 2 << 20) -> np.ndarray:
+def hash_spans(data: np.ndarray, begins: np.ndarray, ends: np.ndarray, most: int = 1 << 20) -> np.ndarray:
     """A 64-bit hash of each span of bytes. Spans are sorted and don't overlap.
 
     A polynomial hash from prefix sums modulo 2^64, mixed at the end: a few passes over
