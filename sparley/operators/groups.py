@@ -20,8 +20,7 @@ def counts(df: DataFrame, *keys: str, nulls: bool = True) -> DataFrame:
 def shares(df: DataFrame, *keys: str) -> DataFrame:
     """Counts and each group's share of all rows."""
     found = counts(df, *keys)
-    total = found.agg(F.sum("n").alias("total"))  # one row
-    return found.join(F.broadcast(total)).select(*keys, "n", (F.col("n") / F.col("total")).alias("share"))
+    return found.select(*keys, "n", (F.col("n") / found.agg(F.sum("n")).scalar()).alias("share"))
 
 
 def top(df: DataFrame, key: str, k: int) -> DataFrame:
@@ -120,8 +119,8 @@ def size_outliers(df: DataFrame, group: str, times: float = 3.0) -> DataFrame:
     """Groups larger than the third quartile of sizes and `times` the distance of the
     quartiles, which are cut to whole numbers."""
     sizes = df.groupBy(group).agg(F.count("*").alias("size"))
-    fence = sizes.agg(F.floor(F.percentile("size", 0.25)).alias("q1"), F.floor(F.percentile("size", 0.75)).alias("q3"))  # one row
-    return sizes.join(F.broadcast(fence)).filter(F.col("size") > F.col("q3") + times * (F.col("q3") - F.col("q1"))).select(group, "size")
+    q1, q3 = (F.floor(F.percentile("size", p)) for p in (0.25, 0.75))
+    return sizes.filter(F.col("size") > sizes.agg(q3 + times * (q3 - q1)).scalar())
 
 
 def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
@@ -133,8 +132,7 @@ def leading_digits(df: DataFrame, value: str | Column) -> DataFrame:
     """Counts of first digits against what a logarithmic distribution has."""
     digit = F.regexp_extract(F.format_string("%.6e", F.abs(col(value).cast("double"))), "^([1-9])", 1)
     found = df.select(F.nullif(digit, F.lit("")).cast("int").alias("digit")).filter("digit IS NOT NULL").groupBy("digit").agg(F.count("*").alias("n"))
-    total = found.agg(F.sum("n").alias("total"))  # one row
-    return found.join(F.broadcast(total)).select("digit", "n", (F.col("n") / F.col("total")).alias("share"), F.log10(1 + 1 / F.col("digit")).alias("expected"))
+    return found.select("digit", "n", (F.col("n") / found.agg(F.sum("n")).scalar()).alias("share"), F.log10(1 + 1 / F.col("digit")).alias("expected"))
 
 
 def middle(df: DataFrame, value: str, *ties: str) -> DataFrame:

@@ -162,7 +162,7 @@ def validate_dyads(d: DataFrame, domain: Domain = Domain()) -> DataFrame:
 
 def validate_cross(s: DataFrame, d: DataFrame, domain: Domain = Domain()) -> DataFrame:
     c = F.col
-    sizes = s.agg(F.count("*").alias("s")).join(F.broadcast(d.agg(F.count("*").alias("d"))))  # one row each
+    sizes = s.agg(F.count("*").alias("s")).withColumn("d", d.agg(F.count("*")).scalar())
     orphan = joins.orphans(d.select("meeting_id").distinct(), s, "meeting_id").agg(F.count("*").alias("orphans"))
     ratios = s.groupBy("term").agg(F.count("*").alias("s")).join(d.groupBy("term").agg(F.count("*").alias("d")), "term").agg((F.max(c("d") / c("s")) - F.min(c("d") / c("s"))).alias("range"))
     recounted = pairs.recount(s, d, "meeting_id", "speech_order", "role", domain.legislators, domain.others).agg(_count(c("difference") != 0).alias("off"))
