@@ -38,6 +38,8 @@ STEPS = 2048
 END = np.uint64(0x0123456789ABCDEF)
 #: Entries of a task's counts beyond which they are sent on.
 SPILL = 4 << 20
+#: Files that a worker keeps open, and bytes it holds of those that can't be mapped.
+HELD_FILES, HELD_BYTES = 4096, 256 << 20
 
 _U = np.uint64
 _BYTE_SELECT = np.array([([b for b in range(8) if x >> b & 1] + [0] * 8)[k] for x in range(256) for k in range(8)], np.int64)
@@ -147,27 +149,37 @@ def save(uri: str, arrays: dict[str, np.ndarray]) -> None:
     write_bytes(uri, len(header).to_bytes(8, "little"), header, *(x for a in arrays.values() for x in (a.tobytes(), b"\0" * (-a.nbytes % 64))))
 
 
-def mapped(uri: str) -> dict[str, np.ndarray]:
-    """The arrays of a file, mapped into memory where the file system is a mounted one."""
+def _entry(uri: str) -> tuple[dict[str, np.ndarray], dict[str, EliasFano], int]:
+    """A file's arrays, the sequences made of them, and the bytes that they hold: none where
+    the file system is a mounted one and the file is mapped into memory. A worker forgets the
+    files it has had longest beyond HELD_FILES and HELD_BYTES."""
     kept = worker_cache("lm-files")
     if uri not in kept:
         files, path = open_fs(uri)
         if files.type_name == "local":
-            data = np.asarray(np.memmap(path, np.uint8, "r"))
+            data, held = np.asarray(np.memmap(path, np.uint8, "r")), 0
         else:
             with files.open_input_file(path) as file:
                 data = np.frombuffer(file.read(), np.uint8)
+            held = len(data)
         size = int.from_bytes(data[:8].tobytes(), "little")
         spots = json.loads(data[8 : 8 + size].tobytes())
-        kept[uri] = {n: data[8 + size + at : 8 + size + at + np.dtype(d).itemsize * k].view(d) for n, (d, at, k) in spots.items()}
+        arrays = {n: data[8 + size + at : 8 + size + at + np.dtype(d).itemsize * k].view(d) for n, (d, at, k) in spots.items()}
+        while kept and (len(kept) >= HELD_FILES or held + sum(x[2] for x in kept.values()) > HELD_BYTES):
+            kept.pop(next(iter(kept)))
+        kept[uri] = arrays, {}, held
     return kept[uri]
 
 
+def mapped(uri: str) -> dict[str, np.ndarray]:
+    return _entry(uri)[0]
+
+
 def _part_of(uri: str, name: str) -> EliasFano:
-    kept = worker_cache("lm-sequences")
-    if (uri, name) not in kept:
-        kept[uri, name] = EliasFano.load(mapped(uri), name)
-    return kept[uri, name]
+    arrays, sequences, _ = _entry(uri)
+    if name not in sequences:
+        sequences[name] = EliasFano.load(arrays, name)
+    return sequences[name]
 
 
 def log_of(q: np.ndarray) -> np.ndarray:

@@ -32,12 +32,7 @@ def sizes_of(docs: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block: int = BLOCK, seed: int = 17, shard_words: int = SHARD_WORDS, most_shards: int = MOST_SHARDS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, begin_word: from docs' doc_id, text and source.
-
-    The words that a document gives are its own words begin_word, begin_word + 1, ...,
-    wrapping round at its end, `taken` in number, where a single run is taken; passes over
-    the whole document count as size each.
-    """
+    """doc_id, source, size, source_size, target and taken, from docs' doc_id, text and source."""
     spark = docs.sparkSession
     sizes = materialise(sizes_of(docs), "mix-sizes")
     run = lambda sql, **frames: spark.sql(sql, **frames)
@@ -88,8 +83,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_RE
         SELECT doc_id, source, size, source_size, target,
                CAST(passes * size
                     + greatest(0, least(begin + size, off + run) - greatest(begin, off))
-                    + greatest(0, least(begin + size, off + run - shard_size) - begin) AS BIGINT) AS taken,
-               CAST(greatest(0, off - begin) % greatest(size, 1) AS BIGINT) AS begin_word
+                    + greatest(0, least(begin + size, off + run - shard_size) - begin) AS BIGINT) AS taken
         FROM x""",
         shares=shares,
         line=line,
