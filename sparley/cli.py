@@ -1,4 +1,4 @@
-"""python -m sparley {resolve,info,export,validate}"""
+"""python -m sparley {resolve,download,info,export,validate,audit}"""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from .plans import validation
+from .plans import audit, validation
 from .sources import datasets
 
 
@@ -17,6 +17,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("--root")
     commands = parser.add_subparsers(dest="command", required=True)
     commands.add_parser("resolve", help="paths of a version's datasets")
+    commands.add_parser("download", help="files of a version from a server").add_argument("--base-url", required=True)
     commands.add_parser("info", help="rows by term and hearing type")
     export = commands.add_parser("export", help="filtered rows to CSV or Parquet")
     export.add_argument("--dataset", choices=sorted(datasets.FILES), default="speeches")
@@ -24,6 +25,8 @@ def main(arguments: list[str] | None = None) -> int:
     export.add_argument("--hearing-type")
     export.add_argument("--format", choices=["csv", "parquet"], default="csv")
     export.add_argument("-o", "--output", required=True)
+    phases = commands.add_parser("audit", help="the deep audit, or some of its phases")
+    phases.add_argument("--phase", default="all", help="numbers joined by commas, or all")
     validate = commands.add_parser("validate", help="checks of speeches and dyads")
     validate.add_argument("--report", required=True)
     options = parser.parse_args(arguments)
@@ -32,6 +35,14 @@ def main(arguments: list[str] | None = None) -> int:
     if options.command == "resolve":
         for name, path in datasets.resolve(spark, **at).items():
             print(name, path)
+    elif options.command == "download":
+        for name, path in datasets.download(options.base_url, **at).items():
+            print(name, path)
+    elif options.command == "audit":
+        chosen = tuple(audit.PHASES) if options.phase == "all" else tuple(map(int, options.phase.split(",")))
+        found = audit.audit(datasets.load(spark, "speeches", **at), datasets.load(spark, "dyads", **at), chosen)
+        found.orderBy("phase", "check", "key").show(100_000, truncate=False)
+        return 2 * (found.filter("check = 'CRITICAL'").count() > 0)
     elif options.command == "info":
         datasets.summary(datasets.load(spark, "speeches", **at), "term", "hearing_type").show(1000, truncate=False)
     elif options.command == "export":

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
+import urllib.request
+import uuid
 from collections.abc import Mapping, Sequence
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +53,33 @@ def read_optional(spark: SparkSession, path: str, missing: str = "fail") -> Data
     return None
 
 
+def fetch(url: str, path: str, chunk: int = 8 << 20) -> bool:
+    """Copies a URL to a local file unless it is there; returns whether it did.
+
+    The file appears whole or not at all: it is written beside its place and moved.
+    """
+    target = Path(path)
+    if target.exists():
+        return False
+    target.parent.mkdir(parents=True, exist_ok=True)
+    part = target.with_name(f"{target.name}.{uuid.uuid4().hex}.part")
+    try:
+        with urllib.request.urlopen(url) as source, part.open("wb") as out:
+            shutil.copyfileobj(source, out, chunk)
+        part.replace(target)
+    finally:
+        part.unlink(missing_ok=True)
+    return True
+
+
+def download(base_url: str, version: str = LATEST, root: str | None = None) -> dict[str, str]:
+    """Fetches a version's files from <base_url>/<version>/; returns their paths."""
+    paths = {name: path_of(name, version, root) for name in FILES}
+    for path in paths.values():
+        fetch(f"{base_url.rstrip('/')}/{version}/{path.rpartition('/')[2]}", path)
+    return paths
+
+
 def scan(df: DataFrame, columns: Sequence[str] | None = None, **equal) -> DataFrame:
     """Rows where each given column has its value, None meaning any; then the columns.
 

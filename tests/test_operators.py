@@ -146,3 +146,28 @@ def test_stream_appends_new_meetings_once(spark, tmp_path):
     take()
     assert rows_of(spark.read.parquet(table).groupBy("meeting_id").count()) == [(2, "a"), (2, "b")]
     assert spark.read.parquet(derived).count() == 2
+
+
+def test_download_is_whole_and_cached(tmp_path):
+    source = tmp_path / "server" / "v9"
+    source.mkdir(parents=True)
+    for name in datasets.FILES.values():
+        (source / name.format(version="v9")).write_bytes(b"x" * 100)
+    base, root = f"file://{tmp_path}/server", str(tmp_path / "cache")
+    paths = datasets.download(base, root=root)
+    assert all(open(p, "rb").read() == b"x" * 100 for p in paths.values())
+    assert not datasets.fetch("file:///nowhere", paths["speeches"])
+    with pytest.raises(OSError):
+        datasets.fetch("file:///nowhere", str(tmp_path / "a" / "b"))
+    assert list((tmp_path / "a").iterdir()) == []
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from sparley import cli
+
+    df = spark.createDataFrame([("a", 20, "국정감사"), ("b", 21, None)], "meeting_id string, term long, hearing_type string")
+    df.write.parquet(datasets.path_of("speeches", "v9", str(tmp_path)))
+    assert cli.main(["--root", str(tmp_path), "info"]) == 0
+    assert cli.main(["--root", str(tmp_path), "export", "--term", "20", "-o", str(tmp_path / "out")]) == 0
+    assert "1 rows" in capsys.readouterr().out
+    assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 1
