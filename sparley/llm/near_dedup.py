@@ -197,7 +197,8 @@ def _meeting(sets: DataFrame, percent: int) -> DataFrame:
     prefix = materialise(prefix, "neardup-prefix")
     by_group = prefix.groupBy("x", "l").agg(F.count("*").alias("n"))
     large = by_group.groupBy("x").agg(F.max(F.struct("n", "l")).alias("g"), F.count("*").alias("groups")).filter("groups > 1").select("x", F.col("g.l").alias("most"))
-    here = prefix.join(large, "x")
+    # As a table, so that the join's sides are plain exchanges, which can be split where a shingle is hot.
+    here = materialise(prefix.join(materialise(large, "neardup-large"), "x"), "neardup-here")
     seekers = here.filter("l <> most").select("x", F.col("cid").alias("a"), F.col("l").alias("la"), F.col("size").alias("sa"), F.col("at").alias("ia"))
     found = here.select("x", F.col("cid").alias("b"), F.col("l").alias("lb"), F.col("size").alias("sb"), F.col("at").alias("ib"))
     possible = f"la <> lb AND {100 + percent} * (1 + least(sa - ia, sb - ib)) >= {percent} * (sa + sb)"
