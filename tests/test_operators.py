@@ -171,3 +171,29 @@ def test_command_line(spark, tmp_path, capsys):
     assert cli.main(["--root", str(tmp_path), "export", "--term", "20", "-o", str(tmp_path / "out")]) == 0
     assert "1 rows" in capsys.readouterr().out
     assert spark.read.option("header", True).csv(str(tmp_path / "out")).count() == 1
+
+
+def test_members_fill_legislators_only(spark):
+    s = spark.createDataFrame([("김", 20, "legislator", None), ("김", 20, "witness", None), ("이", 20, "chair", "kept"), ("박", 20, "chair", None)], "person_name string, term int, role string, party string")
+    members = spark.createDataFrame([("김", 20, "first"), ("이", 20, "other")], "name string, term int, party string")
+    for c in ("ruling_status", "gender", "naas_cd"):
+        s, members = s.withColumn(c, F.lit(None).cast("string")), members.withColumn(c, F.lit("x"))
+    s, members = s.withColumn("seniority", F.lit(None).cast("double")), members.withColumn("seniority", F.lit(2.0))
+    got = build.with_members(s, members)
+    assert rows_of(got.select("party", "person_name", "role")) == sorted([("first", "김", "legislator"), (None, "김", "witness"), ("kept", "이", "chair"), (None, "박", "chair")], key=repr)
+    assert build.with_members(s, members, legislators_only=False).filter("party IS NULL").count() == 1
+
+
+def test_conferences_match_by_id_then_by_day(spark):
+    s = spark.createDataFrame([("12345", "2001-01-01", "A"), ("9", "2001-01-02", "B"), ("8", "2001-01-03", "C")], "meeting_id string, date string, committee string")
+    details = spark.createDataFrame([("012345", "x", "x", "Y", "N", None, "Y", "10:00", None, "u1"), ("000001", "2001-01-02", "B", "N", "Y", "Y", "N", None, None, "u2"), ("000002", "2001-01-02", "B", "Y", "Y", "Y", "Y", None, None, "u3")], "CONF_ID string, CONF_DT string, CMIT_NM string, HR_HRG_YN string, PBHRG_YN string, HRG_YN string, SITG_YN string, BG_PTM string, ED_PTM string, DOWN_URL string")
+    got = build.with_conferences(s, details)
+    assert rows_of(got.select("download_url", "is_hearing", "is_public_hearing", "meeting_id")) == sorted([("u1", True, False, "12345"), ("u2", False, True, "9"), (None, False, False, "8")], key=repr)
+
+
+def test_scraped_rows_are_classified_and_new_meetings_paired(spark):
+    scraped = spark.createDataFrame([("m1", "위원장 김위원", None, "1", "q"), ("m1", "법무부장관 이법무", None, "2", "a"), ("m1", "박의원", "77", "3", "r")], "meeting_id string, speaker string, member_id string, speech_order string, speech_text string")
+    s = build.classified(scraped, "judiciary")
+    assert rows_of(s.select("committee_key", "person_name", "role")) == sorted([("judiciary", "김위원", "chair"), ("judiciary", "이법무", "minister"), ("judiciary", "박의원", "legislator")], key=repr)
+    once = build.dyads_for_new(s, build.dyads(s.limit(0)))
+    assert rows_of(once) == rows_of(build.dyads_for_new(s, once)) and once.count() == 2
