@@ -214,7 +214,7 @@ def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, ma
     classes = materialise(classes, "neardup-classes")
     links = link_classes(docs.select(F.col("doc_id").cast("long"), "text"), classes, words, percent, matches)
     named = classes.select("cid", "fp", "rep").join(links, F.col("cid") == links.v, "left").select("fp", "rep", F.coalesce("l", "cid").alias("l"))
-    lowest = named.groupBy("l").agg(F.min("rep").alias("component"))
+    lowest = materialise(named.groupBy("l").agg(F.min("rep").alias("component")), "neardup-components")
     by_set = named.join(lowest, "l").select(F.col("fp").alias("of"), "component")
     out = signed.join(by_set, signed.fp == by_set.of, "left")
     component = F.coalesce("component", "doc_id")
