@@ -38,6 +38,8 @@ STEPS = 2048
 END = np.uint64(0x0123456789ABCDEF)
 #: Entries of a task's counts beyond which they are sent on.
 SPILL = 4 << 20
+#: Bytes of text that are looked up at once; larger pieces repeat fewer look-ups.
+PIECE = 6 << 20
 #: Files that a worker keeps open, and bytes it holds of those that can't be mapped.
 HELD_FILES, HELD_BYTES = 4096, 256 << 20
 
@@ -356,7 +358,7 @@ def _counter(grams: Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([packed[0]], pa.binary()), pa.array([packed[1]], pa.binary())], ["shard", "n", "keys", "counts"])
             held.clear()
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE):
             shard, keys = grams(batch.column("text"))
             order = np.lexsort((keys, shard))
             shard, keys = shard[order], keys[order]
@@ -476,7 +478,9 @@ def train(docs: DataFrame, folder: str, shards: int | None = None, discount: flo
         rest = np.ones(n)
         np.subtract.at(rest, context, share)
         prob = share + rest[context] * 10 ** log_of(lower)
-        return EliasFano.of(keys).arrays("keys") | {"probs": quantised(prob), "backoff": quantised(np.maximum(rest, 1e-12))}, len(keys), int(counts.sum())
+        backoff = quantised(np.maximum(rest, 1e-12))
+        backoff[distinct] = np.maximum(backoff[distinct], 1)  # so 0 says that a pair has no triples
+        return EliasFano.of(keys).arrays("keys") | {"probs": quantised(prob), "backoff": backoff}, len(keys), int(counts.sum())
 
     _level(docs, trie, f"{folder}/3", triples, build_triples)
     return trie
@@ -500,16 +504,15 @@ def score_tokens(trie: Trie, ids: np.ndarray, offsets: np.ndarray, counts: np.nd
     relative[hit] = place[hit] - trie.of_contexts("pointers", a[hit])
     out = log[back] + np.where(place[back] >= 0, 0.0, base)
     # Triples: the pair before a token is the context.
+    rest = np.zeros(len(key))
+    rest[hit] = log_of(trie.of_pairs("backoff", place[hit], 2))
     inner = np.ones(len(ids), bool)
     inner[offsets[:-1]] = False
     at = np.flatnonzero(inner)
-    before = place[back[at - 1]]
-    at, before = at[before >= 0], before[before >= 0]
-    out[at] += log_of(trie.of_pairs("backoff", before, 2))
-    own = back[at]
-    pair = np.flatnonzero(place[own] >= 0)
-    found, prob = trie.triple_places(before[pair], relative[own[pair]])
-    out[at[pair[found]]] = log_of(prob[found])
+    out[at] += rest[back[at - 1]]
+    at = at[(rest[back[at - 1]] < 0) & (place[back[at]] >= 0)]
+    found, prob = trie.triple_places(place[back[at - 1]], relative[back[at]])
+    out[at[found]] = log_of(prob[found])
     return out
 
 
@@ -518,7 +521,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 def _scorer(trie: Trie):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE):
             hashes, offsets = tokens(batch.column("text"))
             ids = trie.word_ids(hashes)
             counts = trie.word_counts(ids)
