@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import sys
 import types
 import uuid
@@ -109,6 +111,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 2 << 20)
             total += int(size)
         if begin < len(sizes):
             yield batch.slice(begin)
+    tidy()
+
+
+def tidy() -> None:
+    """Gives memory that a finished task has freed back to the system: workers stay, idle,
+    beside the JVM of later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # only in glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 _IS_WHITE = np.zeros(256, bool)
