@@ -207,4 +207,11 @@ whole AS (SELECT doc_id, {_canonical("text")} AS text_digest FROM documents)
 SELECT whole.doc_id, text_digest, license_id, CAST(coalesce(n, 0) AS BIGINT) AS n_notices, coalesce(notices, '') AS notices
 FROM whole LEFT JOIN known ON digest = text_digest LEFT JOIN notices USING (doc_id)"""
 
-ORACLES = {"op9_licenses": OP9_SQL, "op1_warc": OP1_SQL, "op3_near_dedup": OP3_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
+#: The exact neighbours, which the search finds on the test tables.
+OP4_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+ok AS (SELECT vec_id, x FROM v WHERE list_bool_and(list_transform(x, lambda c: c IS NOT NULL AND isfinite(c))) AND list_bool_or(list_transform(x, lambda c: c <> 0))),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS score FROM ok q JOIN ok c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20"""
+
+ORACLES = {"op4_ann": OP4_SQL, "op9_licenses": OP9_SQL, "op1_warc": OP1_SQL, "op3_near_dedup": OP3_SQL, "op6_chat": OP6_SQL, "op5_quality_rules": OP5_SQL, "op8_mixing": OP8_SQL}
