@@ -203,6 +203,7 @@ class Trie:
         self.words = np.zeros(shards + 1, np.int64)  # words before each shard
         self.pairs = np.zeros(shards + 1, np.int64)
         self.total = 0
+        self.deals = list(range(shards))  # the key by which each shard's counts are shuffled
 
     @property
     def size(self) -> int:
@@ -321,7 +322,7 @@ def _before(ids: np.ndarray, offsets: np.ndarray, start: int) -> np.ndarray:
     return out
 
 
-RUN = "shard int, n long, keys binary, counts binary"
+RUN = "shard int, deal int, n long, keys binary, counts binary"
 SHARD = "shard int, path string, n long, total long"
 
 
@@ -343,7 +344,14 @@ def merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _counter(grams: Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]]):
+def even_keys(spark: SparkSession, n: int) -> list[int]:
+    """A key for each of n shards, such that hashing deals each to a partition of its own of n."""
+    tried = spark.range(64 * n).select(F.col("id").cast("int").alias("key")).groupBy(F.pmod(F.hash("key"), F.lit(n)).alias("at")).agg(F.min("key").alias("key"))
+    found = {row["at"]: row["key"] for row in tried.collect()}
+    return [found.get(k, -1 - k) for k in range(n)]
+
+
+def _counter(grams: Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]], deals: list[int]):
     """Counts what `grams` gives (shards and keys of a column's n-grams); a shard's counts
     leave a task as one sorted run, or a few if there are very many."""
 
@@ -355,7 +363,7 @@ def _counter(grams: Callable[[pa.Array], Iterator[tuple[np.ndarray, np.ndarray]]
             for shard, runs in held.items():
                 keys, counts = merge(*map(np.concatenate, zip(*runs, strict=True)))
                 packed = pack_run(keys, counts)
-                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([packed[0]], pa.binary()), pa.array([packed[1]], pa.binary())], ["shard", "n", "keys", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([deals[shard]], pa.int32()), pa.array([len(keys)], pa.int64()), pa.array([packed[0]], pa.binary()), pa.array([packed[1]], pa.binary())], ["shard", "deal", "n", "keys", "counts"])
             held.clear()
 
         for batch in slices(batches, "text", PIECE):
@@ -382,7 +390,7 @@ def _level(docs: DataFrame, trie: Trie, folder: str, grams, build) -> list:
     """Counts n-grams of docs and builds a level's shards; a row for each."""
 
     def shard(key: tuple, runs: pa.Table) -> pa.Table:
-        k = key[0].as_py()
+        k = runs.column("shard")[0].as_py()
         parts = [unpack_run(*row) for row in zip(*(runs.column(c).to_pylist() for c in ("n", "keys", "counts")), strict=True)]
         keys, counts = merge(*map(np.concatenate, zip(*parts, strict=True)))
         arrays, n, total = build(k, keys, counts)
@@ -395,8 +403,8 @@ def _level(docs: DataFrame, trie: Trie, folder: str, grams, build) -> list:
 
         return f"{folder}/{k}-{uuid.uuid4().hex}.trie"  # a task that runs again leaves the first one's file unread
 
-    runs = docs.select("text").mapInArrow(_counter(grams), RUN)
-    rows = runs.groupBy("shard").applyInArrow(shard, SHARD).collect()
+    runs = docs.select("text").mapInArrow(_counter(grams, trie.deals), RUN)
+    rows = runs.groupBy("deal").applyInArrow(shard, SHARD).collect()
     paths = [""] * trie.shards
     for row in rows:
         paths[row["shard"]] = row["path"]
@@ -415,6 +423,7 @@ def train(docs: DataFrame, folder: str, shards: int | None = None, discount: flo
     """Builds the trie of docs' texts under `folder`. Shards: as many as shuffle partitions,
     so they stay of a size as both grow with the input."""
     trie = Trie(shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    trie.deals = even_keys(docs.sparkSession, trie.shards)
 
     def words(column) -> tuple[np.ndarray, np.ndarray]:
         hashes, _ = tokens(column)
