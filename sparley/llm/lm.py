@@ -9,9 +9,8 @@ probabilities and back-off weights beside it. Levels are cut into shards by rang
 first word; executors build shards from sorted runs of counts and later map them into
 memory. Nothing is collected but a row for each shard.
 
-Probabilities: add-half unigrams; above them interpolated absolute discounting. Pairs are
-all kept; triples from a count of LEAST_TRIPLES, the mass of the rest goes to the back-off
-weight, so that probabilities sum to one.
+Probabilities: add-half unigrams; above them interpolated absolute discounting, so that
+probabilities sum to one. Pairs and triples are all kept.
 
 Defined results: a null or wordless text is its end token alone; a null doc_id trains;
 repeated rows count each time and score alike; without training rows every token has
@@ -31,7 +30,8 @@ from pyspark.sql import functions as F
 from .common import fresh_dir, hashed_words, open_fs, slices, worker_cache, write_bytes
 
 DISCOUNT = 0.75
-LEAST_TRIPLES = 2
+#: The count from which a triple is kept: all are.
+LEAST_TRIPLES = 1
 #: Steps of a quantised logarithm to base 10.
 STEPS = 2048
 #: The end token's hash, which counts as a word, and the mark before the first word, which doesn't.
@@ -419,7 +419,7 @@ def _offsets(rows: list, shards: int) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(sizes)])
 
 
-def train(docs: DataFrame, folder: str, shards: int | None = None, discount: float = DISCOUNT, least_triples: int = LEAST_TRIPLES) -> Trie:
+def train(docs: DataFrame, folder: str, shards: int | None = None, discount: float = DISCOUNT) -> Trie:
     """Builds the trie of docs' texts under `folder`. Shards: as many as shuffle partitions,
     so they stay of a size as both grow with the input."""
     trie = Trie(shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -465,18 +465,15 @@ def train(docs: DataFrame, folder: str, shards: int | None = None, discount: flo
         # Pairs as they stand; a triple is a pair and the one before it, within a row.
         key, back = np.unique(first * (trie.size + 1) + ids, return_inverse=True)
         place = trie.pair_places(key // (trie.size + 1), key % (trie.size + 1))
-        enough = trie.of_pairs("counts", place) >= least_triples
         pointer = trie.of_contexts("pointers", key // (trie.size + 1))
         inner = np.ones(len(ids), bool)
         inner[offsets[:-1]] = False
         at = np.flatnonzero(inner)
-        at = at[enough[back[at]] & enough[back[at - 1]]]  # a triple isn't more frequent than its pairs
         before, own = place[back[at - 1]], back[at]
         shard = np.searchsorted(trie.pairs, before, "right") - 1
         return shard, (before - trie.pairs[shard]).astype(_U) << _U(32) | (place[own] - pointer[own]).astype(_U)
 
     def build_triples(k: int, keys: np.ndarray, counts: np.ndarray):
-        keys, counts = keys[counts >= least_triples], counts[counts >= least_triples]
         context = (keys >> _U(32)).astype(np.int64)
         own, n = _part_of(trie.levels[1][k], "keys"), int(trie.pairs[k + 1] - trie.pairs[k])
         seen = mapped(trie.levels[1][k])["counts"][context].astype(np.int64)

@@ -59,6 +59,16 @@ def test_matches_brute_force(spark):
         assert abs(r["score"] - score) <= 1e-3 * n  # quantised to steps of 1 / 2048
 
 
+def test_triples_seen_once_count(spark, monkeypatch):
+    monkeypatch.setattr(lm, "LEAST_TRIPLES", 1)  # brute() leaves none out
+    held = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 5 == 1)
+    rows = [(k, "p q r p q s p q r") for k in range(held)] + [(held, "u v w x y z"), (200, "u v w x y z"), (201, "v w z u v x")]
+    assert zlib.crc32(b"200") % 5 != 1
+    want = brute(rows)
+    for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        assert abs(r["score"] - want[r["doc_id"]][-1]) <= 1e-3 * r["n_tokens"]
+
+
 def test_edge_cases(spark):
     docs = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, None), (2, "x " * 30_000)], "doc_id long, text string").selectExpr("*", "1 AS held_out", "2 AS score")
     got = lm.score(docs).collect()
