@@ -7,7 +7,9 @@ shifts inner products with the queries that matter, and once across it. Every ve
 coded, so the index has a byte for two codes. A query makes a table of its inner products
 with all code words; a block of codes is scanned by adding up table entries (two codes a
 look-up), the best of a block are scored exactly from the original vectors, and each
-query's best are merged.
+query's best are merged. A row's quantisation error bounds its score; where that leaves a
+row that isn't scored a chance to be among the best, all rows of the block are scored, so
+the results are those of an exhaustive search.
 
 Queries are written in blocks to the shared folder. A task holds a bounded run of coded
 rows and reads one block of queries after the other against it, so neither side is
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import fresh_dir, open_fs, write_bytes
 
 NEAREST = 20
-#: The sample that codebooks are fitted on; candidates of a block that are scored exactly.
+#: The sample that codebooks are fitted on; candidates of a block that are scored exactly at first.
 SAMPLE, RERANK = 8192, 256
 #: Rows that a task holds at once, and queries of a block.
 RUN, QUERY_BLOCK = 1 << 16, 4096
@@ -43,6 +45,8 @@ THRESHOLD = 0.2
 WORDS, WIDTH, ROUNDS = 16, 2, 8
 
 TABLES_AT_ONCE = 64
+#: Rows of a matrix product.
+PRODUCT_ROWS = 8192
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -132,12 +136,25 @@ class Quantiser:
         codes = self._descend(p, p / np.where(norm > 0, norm, 1), self._nearest(p), 2)
         return codes[:, 0::2] | codes[:, 1::2] << 4
 
+    def radius(self, x: np.ndarray, packed: np.ndarray) -> np.ndarray:
+        """By how much, for a query of norm 1, a sum of table entries can differ from the exact score."""
+        p = self.padded(x.astype(np.float64))
+        decoded = self._decoded(np.stack([packed & 15, packed >> 4], axis=2).reshape(len(x), -1))
+        norm = lambda a: np.sqrt((a**2).sum(axis=(1, 2)))
+        # The entries are rounded and added up in single precision, the exact scores in double precision.
+        return norm(p - decoded) * (1 + 1e-9) + (packed.shape[1] + 2) * 2.0**-22 * norm(decoded) + _rounding(x.shape[1]) * norm(p)
+
     def tables(self, q: np.ndarray) -> np.ndarray:
         """[queries, bytes of a code, 256]: the inner product with what each byte stands for."""
         one = np.einsum("qsw,skw->qsk", self.padded(q.astype(np.float64)), self.books)
         return (one[:, 1::2, :, None] + one[:, 0::2, None, :]).reshape(len(q), -1, WORDS * WORDS).astype(np.float32)
 
 
+def _rounding(dimensions: int) -> float:
+    """The error of an inner product in double precision, in any order, as a share of the norms."""
+    return (dimensions + 4) * 2.0**-52
+
+
 def exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Inner products in double precision, term after term."""
     out = np.zeros(len(rows))
@@ -146,28 +163,51 @@ def exact(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return out
 
 
+def _exhaustive(ids: np.ndarray, vectors: np.ndarray, query_ids: list[int], queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each query's best of all rows. A matrix product leaves the rows that rounding could put among them."""
+    product, longest = np.empty((len(queries), len(ids))), 0.0
+    for a in range(0, len(ids), PRODUCT_ROWS):
+        rows = vectors[a : a + PRODUCT_ROWS].astype(np.float64)
+        product[:, a : a + len(rows)] = queries @ rows.T
+        longest = max(longest, np.sqrt((rows**2).sum(axis=1)).max())
+    for own, query, rough in zip(query_ids, queries, product, strict=True):
+        others = ids != own
+        rough, most = rough[others], min(k, np.count_nonzero(others))
+        border = np.partition(rough, len(rough) - most)[len(rough) - most] if most else 0.0
+        at = np.flatnonzero(others)[~(rough < border - 4 * _rounding(len(query)) * longest * np.linalg.norm(query))]
+        scores = exact(vectors[at].astype(np.float64), query)
+        order = np.lexsort((ids[at], -scores))[:k]
+        yield own, ids[at][order], scores[order]
+
+
 def search_run(quantiser: Quantiser, ids: np.ndarray, codes: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, rerank: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Each query's best rows of a run, whose ids ascend: query id, row ids and scores."""
     columns = np.ascontiguousarray(codes.T)
     most = min(rerank + 1, len(ids))
+    radius = quantiser.radius(vectors, codes)
     for at in range(0, len(queries), TABLES_AT_ONCE):
         part = queries[at : at + TABLES_AT_ONCE].astype(np.float64)
-        for table, own, query in zip(quantiser.tables(part), query_ids[at : at + TABLES_AT_ONCE].tolist(), part, strict=True):
+        own_ids, open_ = query_ids[at : at + TABLES_AT_ONCE].tolist(), []
+        for i, (table, own, query) in enumerate(zip(quantiser.tables(part), own_ids, part, strict=True)):
             rough = table[0][columns[0]]
             for entry, column in zip(table[1:], columns[1:], strict=True):
                 rough += entry[column]
-            # Of equal sums at the border the smaller ids, so copies stay in order.
             border = np.partition(rough, len(ids) - most)[len(ids) - most]
-            best = np.flatnonzero(rough >= border)
-            if len(best) > most:
-                above = best[rough[best] > border]
-                level = best[rough[best] == border]
-                own_copies = np.count_nonzero(ids[level] == own)
-                best = np.concatenate([above, level[: most - len(above) + own_copies]])
-            best = best[ids[best] != own]
+            best = np.flatnonzero(rough >= border)[: 2 * most]
+            scored = ids == own
+            best = best[~scored[best]]
+            scored[best] = True
             scores = exact(vectors[best].astype(np.float64), query)
             order = np.lexsort((ids[best], -scores))[:k]
-            yield own, ids[best][order], scores[order]
+            # What a row that isn't scored can have at most; equal scores count, as its id may be smaller.
+            bound = rough.astype(np.float64) + np.linalg.norm(query) * radius
+            bound[scored] = -np.inf
+            if scored.all() or len(order) == k and bound.max() < scores[order[-1]]:
+                yield own, ids[best][order], scores[order]
+            else:
+                open_.append(i)
+        if open_:
+            yield from _exhaustive(ids, vectors, [own_ids[i] for i in open_], part[open_], k)
 
 
 def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

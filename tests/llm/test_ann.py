@@ -41,6 +41,17 @@ def test_recall_of_random_vectors_and_many_copies(spark):
     assert len(got) == 60 and hits >= 0.9 * 20 * len(got)
 
 
+def test_near_copies_in_a_full_run_are_told_apart():
+    chance = np.random.Generator(np.random.PCG64(6))
+    x = chance.normal(size=(ann.RUN, 64))
+    x[::3] = x[0] + chance.normal(size=x[::3].shape) * 0.05 / 8
+    x = x.astype(np.float32)
+    ids, asked = np.arange(len(x)), np.arange(0, 3 * 16, 2)
+    quantiser = ann.Quantiser.fit(x[: ann.SAMPLE].astype(float))
+    for own, found, scores in ann.search_run(quantiser, ids, quantiser.encode(x), x, asked, x[asked], ann.NEAREST, ann.RERANK):
+        assert list(zip(found.tolist(), scores.tolist(), strict=True)) == nearest(ids, x.astype(float), own)
+
+
 def test_anisotropic_loss_lowers_the_parallel_error():
     chance = np.random.Generator(np.random.PCG64(4))
     x = chance.normal(size=(2000, 16))
