@@ -2,7 +2,7 @@
 
 Letter case, punctuation, layout, copyright lines and equivalent spellings are
 normalised, and the digest of what remains is looked up among known licences: whole
-texts by a hash join, and lines that speak of a licence by the same table.
+texts by a hash join, and every line by the same table.
 
 Defined results: a null text and a text without letters or digits have the digest of the
 empty text, which is no licence; repeated rows are looked up alike; an empty table gives
@@ -36,6 +36,7 @@ SPELLINGS = (
     ("https", "http"),
     (" all rights reserved", ""),
 )
+#: Of the SQL, which looks up only lines that hold one of these; `scan` looks up all.
 SPEAKS = "licen[cs]e|spdx"
 
 _MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -125,8 +126,7 @@ def scan(docs: DataFrame, licenses=LICENSES) -> DataFrame:
     table = known(docs.sparkSession, licenses)
     # As many entries as `licenses`, a parameter: safe to have on the driver and in a plan.
     entries = F.create_map(*(F.lit(x) for row in table.sort("digest").collect() for x in (row["digest"], row["license_id"])))
-    lines = F.filter(F.split("text", "\n"), lambda x: F.translate(x, UPPER, LOWER).rlike(SPEAKS))
-    found = F.filter(F.transform(lines, lambda x: F.try_element_at(entries, digest(x))), lambda x: x.isNotNull())
+    found = F.filter(F.transform(F.split("text", "\n"), lambda x: F.try_element_at(entries, digest(x))), lambda x: x.isNotNull())
     scanned = docs.select("doc_id", digest(F.col("text")).alias("text_digest"), F.coalesce(found, F.array().cast("array<string>")).alias("found"))
     out = scanned.join(table, scanned.text_digest == table.digest, "left")
     return out.select("doc_id", "text_digest", "license_id", F.size("found").cast("long").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct("found")), ",").alias("notices"))

@@ -88,3 +88,10 @@ def test_licences(spark):
     assert sorted(got, key=repr) == sorted([(1, "MIT", 0, ""), (2, "MIT", 0, ""), (3, None, 0, ""), (4, None, 0, ""), (5, None, 0, ""), (6, None, 2, "Apache-2.0,MIT"), (6, None, 2, "Apache-2.0,MIT"), (None, None, 0, "")], key=repr)
     assert licenses.scan(docs.limit(0)).count() == 0
     assert licenses.known(spark).groupBy("digest").count().filter("count > 1").count() == 0
+
+
+def test_every_known_line_is_a_notice(spark):
+    lines = [(k, i, t) for k, (i, t) in enumerate(licenses.LICENSES) if "\n" not in t]
+    docs = spark.createDataFrame([(k, f"Some text.\n  {t.upper()}\nMore text.") for k, _, t in lines], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_notices"], r["notices"]) for r in licenses.scan(docs).collect()}
+    assert len(lines) > 100 and got == {k: (1, i) for k, i, _ in lines}
