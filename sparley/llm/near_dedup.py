@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import hashed_words, materialise, mix, slices
 
@@ -206,8 +207,8 @@ def _meeting(sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, matches: int = MATCHES) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
+def _labelled(docs: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+    """doc_id, n_shingles, fp, label and component (the label's smallest id) for each row of docs."""
     signed = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_signer(words), SIGNATURE), "neardup-signatures")
     some = signed.filter("fp IS NOT NULL")
     classes = some.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("x")).select("fp", F.col("x.doc_id").alias("rep"), F.col("x.sig").alias("sig"), F.monotonically_increasing_id().alias("cid"))
@@ -215,18 +216,34 @@ def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, ma
     links = link_classes(docs.select(F.col("doc_id").cast("long"), "text"), classes, words, percent, matches)
     named = classes.select("cid", "fp", "rep").join(links, F.col("cid") == links.v, "left").select("fp", "rep", F.coalesce("l", "cid").alias("l"))
     lowest = materialise(named.groupBy("l").agg(F.min("rep").alias("component")), "neardup-components")
-    by_set = named.join(lowest, "l").select(F.col("fp").alias("of"), "component")
-    out = signed.join(by_set, signed.fp == by_set.of, "left")
+    by_set = named.join(lowest, "l").select(F.col("fp").alias("of"), F.col("l").alias("label"), "component")
+    return signed.join(by_set, signed.fp == by_set.of, "left").select("doc_id", "n_shingles", "fp", "label", "component")
+
+
+def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, matches: int = MATCHES) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
     component = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return _labelled(docs, words, percent, matches).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def _printer(words: int):
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.append_column("__dup_fp", pa.array(_prints(*shingle_sets(batch.column("text"), words)), pa.binary()))
+
+    return prints
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, that of its smallest doc_id (of repeated rows
-    the one with the smallest text); rows with an empty set all stay. The same columns as docs."""
-    keys = docs.select("doc_id", "text")
-    found = group(keys).filter("kept").select(F.col("doc_id").alias("__dup_id"), F.col("n_shingles").alias("__dup_n")).distinct()
-    kept = docs.join(found, F.col("doc_id").eqNullSafe(F.col("__dup_id")))
-    # Only ids that repeat need a choice; a window over the id alone keeps groups small.
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return kept.withColumn("__dup_rank", F.when(F.col("__dup_n") > 0, rank).otherwise(F.lit(1))).filter("__dup_rank = 1").select(*docs.columns)
+    """One row of docs for each component, one of its smallest doc_id (of several such rows
+    one of the smallest set's digest, then of the smallest text); rows with an empty set all
+    stay. The same columns as docs."""
+    found = _labelled(docs.select("doc_id", "text"), SHINGLE, LINK_PERCENT, MATCHES)
+    # A component without any id has rows of null alone.
+    chosen = found.filter("fp IS NOT NULL AND doc_id <=> component").groupBy("label").agg(F.min("fp").alias("__dup_of"), F.min("doc_id").alias("__dup_id"))
+    printed = docs.mapInArrow(_printer(SHINGLE), T.StructType([*docs.schema.fields, T.StructField("__dup_fp", T.BinaryType())]))
+    one = printed.join(chosen.drop("label"), (F.col("__dup_fp") == F.col("__dup_of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__dup_id")))
+    # A window over rows of one set and one id.
+    rank = F.row_number().over(Window.partitionBy("__dup_fp").orderBy("text"))
+    kept = one.withColumn("__dup_rank", rank).filter("__dup_rank = 1").select(*docs.columns)
+    return kept.unionByName(printed.filter("__dup_fp IS NULL").select(*docs.columns))

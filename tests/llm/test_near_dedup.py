@@ -67,3 +67,9 @@ def test_keep_one_keeps_one_of_each_group(spark):
     rows = [(5, "a b c d e f", 1), (5, "a b c d e f", 2), (2, "a b c d e f", 3), (9, None, 5), (9, None, 5), (8, "x", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, kept int")
     assert rows_of(near_dedup.keep_one(docs)) == sorted([(2, 3, "a b c d e f"), (9, 5, None), (9, 5, None), (8, 7, "x")], key=repr)
+
+
+def test_keep_one_keeps_clean_rows_of_null_and_shared_ids(spark):
+    clean = [(None, "a b c d e f"), (None, "g h i j k l"), (None, "..."), (None, ""), (7, "m n o p q r"), (7, "s t u v w x"), (7, None), (7, "")]
+    docs = spark.createDataFrame([*clean, (None, "g h i j k l"), (7, "m n o p q r"), (8, "s t u v w x")], "doc_id long, text string")
+    assert rows_of(near_dedup.keep_one(docs)) == sorted(clean, key=repr)
