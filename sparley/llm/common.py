@@ -12,7 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The white space that separates words: space and U+0009 to U+000D.
 WHITE = " \t\n\x0b\f\r"
@@ -48,8 +50,7 @@ def fresh_dir(spark: SparkSession, what: str) -> str:
 def release(spark: SparkSession) -> None:
     """Deletes all intermediate tables of this application. Results that still read them
     have to be written before."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    delete(spark, own_dir(spark))
 
 
 def materialise(df: DataFrame, what: str) -> DataFrame:
@@ -59,6 +60,102 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `materialise` wrote and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        own = own_dir(spark).rpartition("/")[2]
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            if f"/{own}/" in folder:
+                delete(spark, folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+#: A row's address: a digest of the path of the file that it is in, and its place there.
+FILE, ROW = "__sparley_file", "__sparley_row"
+
+
+def addressed(docs: DataFrame) -> DataFrame:
+    """docs with the columns FILE and ROW.
+
+    A row keeps its address however often it is read, so what one pass finds out about it
+    reaches another through `write_sides`, without a shuffle of the rows. What isn't a plain
+    scan of Parquet files is written as a table first.
+    """
+    def scan(node) -> bool:
+        inner = node.children()
+        return node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View") and scan(inner.apply(0)) or node.nodeName() == "LogicalRelation"
+
+    plan = docs._jdf.queryExecution().analyzed()
+    for df in (docs, None):
+        df = df or materialise(docs, "rows")
+        if df is docs and not (plan.deterministic() and scan(plan)):
+            continue
+        with contextlib.suppress(AnalysisException):  # files without row numbers
+            at = df.metadataColumn("_metadata")
+            return df.select("*", F.xxhash64(at["file_path"]).alias(FILE), at["row_index"].alias(ROW))
+    raise TypeError("rows of a Parquet table have addresses")
+
+
+#: Rows of a file that one side file speaks of.
+SIDE_ROWS = 1 << 20
+
+
+def write_sides(rows: DataFrame, folder: str, value: str | None = None) -> None:
+    """Writes, for each run of SIDE_ROWS rows of a file, which of them `rows` (FILE, ROW and a
+    long) has, and their values. A task that runs again writes the same bytes."""
+
+    def save(key: tuple, table: pa.Table) -> pa.Table:
+        at = table.column(ROW).to_numpy()
+        order = np.argsort(at, kind="stable")
+        values = table.column("value").to_numpy()
+        write_bytes(f"{folder}/{key[0].as_py()}-{key[1].as_py()}", at[order].astype(np.int64).tobytes(), values[order].astype(np.int64).tobytes())
+        return pa.table({"n": pa.array([len(at)], pa.int64())})
+
+    chosen = rows.select(FILE, ROW, (F.col(value) if value else F.lit(0)).cast("long").alias("value"))
+    chosen.groupBy(FILE, F.shiftright(ROW, 20).alias("part")).applyInArrow(save, "n long").agg(F.sum("n")).collect()
+
+
+class Sides:
+    """What `write_sides` wrote, by address; holds the last few runs."""
+
+    def __init__(self, folder: str):
+        self.folder, self.held = folder, {}
+
+    def _of(self, key: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+        from pyarrow import fs
+
+        if key not in self.held:
+            files, path = open_fs(f"{self.folder}/{key[0]}-{key[1]}")
+            data = b""
+            if files.get_file_info(path).type != fs.FileType.NotFound:
+                with files.open_input_file(path) as file:
+                    data = file.read()
+            while len(self.held) >= 4:
+                self.held.pop(next(iter(self.held)))
+            n = len(data) // 16
+            self.held[key] = np.frombuffer(data, np.int64, n), np.frombuffer(data, np.int64, n, 8 * n)
+        return self.held[key]
+
+    def find(self, file: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether rows were written, and their values."""
+        found, values = np.zeros(len(row), bool), np.zeros(len(row), np.int64)
+        part = row >> 20
+        edges = np.flatnonzero((file[1:] != file[:-1]) | (part[1:] != part[:-1])) + 1
+        for a, b in zip([0, *edges], [*edges, len(row)], strict=True):
+            if b > a:
+                rows, kept = self._of((int(file[a]), int(part[a])))
+                at = np.minimum(np.searchsorted(rows, row[a:b]), max(len(rows) - 1, 0))
+                if len(rows):
+                    found[a:b] = rows[at] == row[a:b]
+                    values[a:b] = np.where(found[a:b], kept[at], 0)
+        return found, values
+
+
 def worker_cache(name: str) -> dict:
     """A dict that lives as long as the Python worker, across tasks."""
     holder = sys.modules.setdefault("_sparley_worker", types.ModuleType("_sparley_worker"))

@@ -11,8 +11,14 @@
    merged around its leader first: collisions are counted over whole signatures, and the
    pair is confirmed on the full sets. Where a list's classes are all in one group by then,
    nothing is left to find.
-5. The classes of lists that still hold several groups meet once more under their rarest
-   shingles, which finds every link between them without pairing groups with themselves.
+5. In lists that still hold several groups all pairs between groups are candidates. Their
+   collisions are counted and their sets compared, but for those that can't link: sets that
+   do share one of the rarest shingles of each, at places that the sizes bound, so the
+   classes of these lists meet under such shingles instead of each with each.
+
+Signatures and sets are read from texts where these are: a row's address (its file and its
+place there) says what a later pass wants of it, so no text is shuffled, and of sets only
+those that a pair is confirmed with.
 
 At a similarity of 0.75 a pair agrees in fewer than 30 of 64 coordinates with a chance
 below 1e-6, and less above it.
@@ -32,21 +38,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import hashed_words, materialise, mix, slices
+from .common import FILE, ROW, WORD, Sides, addressed, discard, fresh_dir, hashed_words, materialise, mix, slices, tidy, write_sides
 
 SHINGLE = 5
 COORDINATES = 64
 MATCHES = 30
 LINK_PERCENT = 75
-#: Classes in a candidate list beyond which the text of documents isn't read through a broadcast of buckets.
-BUCKETS = 1 << 17
 
 _FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADDENDS = np.random.Generator(np.random.PCG64(13)).integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
-SIGNATURE = "doc_id long, n_shingles long, fp binary, sig array<long>"
-SETS = "doc_id long, fp binary, shingles array<long>"
+SIGNATURE = f"doc_id long, tie long, {FILE} long, {ROW} long, n_shingles long, fp binary, sig array<long>"
+SETS = "cid long, shingles array<long>"
 
 
 def shingle_sets(column, words: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -97,22 +100,35 @@ def _signer(words: int):
             # The coordinate goes into the top six bits, so a pair is one number.
             minima = (minima >> np.uint64(6)) | (np.arange(COORDINATES, dtype=np.uint64) << np.uint64(58))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(sizes.astype(np.int64)), pa.array(_prints(values, offsets), pa.binary()), _list_of(minima.ravel(), np.concatenate([[0], np.cumsum((sizes > 0) * COORDINATES)]))],
-                ["doc_id", "n_shingles", "fp", "sig"],
+                [*(batch.column(c) for c in ("doc_id", "tie", FILE, ROW)), pa.array(sizes.astype(np.int64)), pa.array(_prints(values, offsets), pa.binary()), _list_of(minima.ravel(), np.concatenate([[0], np.cumsum((sizes > 0) * COORDINATES)]))],
+                ["doc_id", "tie", FILE, ROW, "n_shingles", "fp", "sig"],
             )
 
     return sign
 
 
-def _setter(words: int):
+def _setter(words: int, folder: str):
+    sides = Sides(folder)
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            values, offsets = shingle_sets(batch.column("text"), words)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(_prints(values, offsets), pa.binary()), _list_of(values, offsets)], ["doc_id", "fp", "shingles"])
+        for whole in batches:
+            found, cid = sides.find(*(whole.column(c).to_numpy(zero_copy_only=False) for c in (FILE, ROW)))
+            wanted = whole.filter(pa.array(found)).append_column("cid", pa.array(cid[found]))
+            for batch in slices([wanted], "text"):
+                values, offsets = shingle_sets(batch.column("text"), words)
+                yield pa.RecordBatch.from_arrays([batch.column("cid"), _list_of(values, offsets)], ["cid", "shingles"])
 
     return sets
 
 
+def sets_of(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """cid, shingles and size of classes (cid and their rows' addresses), read from the rows'
+    texts in another pass; no text is shuffled."""
+    folder = fresh_dir(docs.sparkSession, "neardup-wanted")
+    write_sides(classes, folder, "cid")
+    return docs.select(FILE, ROW, "text").mapInArrow(_setter(words, folder), SETS).withColumn("size", F.size("shingles"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """v and l, the smallest vertex reachable, for the vertices of edges a, b (longs).
 
@@ -134,53 +150,67 @@ def _same_coordinates(a: str, b: str) -> Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda x: x))
 
 
-def link_classes(docs: DataFrame, classes: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, matches: int = MATCHES) -> DataFrame | None:
-    """v and l of the classes (column cid) that link with others; None where none do."""
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """labels (cid, l) after edges (a, b): only labels that an edge joins change."""
+    if edges.isEmpty():
+        return labels
+    of = lambda c, name: labels.select(F.col("cid").alias(c), F.col("l").alias(name))
+    found = components(edges.join(of("a", "la"), "a").join(of("b", "lb"), "b").filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    return labels.join(found.withColumnRenamed("l", "to"), F.col("l") == F.col("v"), "left").select("cid", F.coalesce("to", "l").alias("l"))
+
+
+def link_classes(docs: DataFrame, classes: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, matches: int = MATCHES) -> DataFrame:
+    """cid and l, the group, of the classes that share enough coordinates with others; those
+    that don't are groups of their own."""
     posted = classes.select("cid", F.explode("sig").alias("pair"))
     common = posted.groupBy("pair").agg(F.count("*").alias("n")).filter("n > 1")
     left = posted.join(common, "pair").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("n", "pair"))).alias("pairs"), F.sum("n").alias("central")).filter(F.size("pairs") >= matches)
     prefix = F.slice("pairs", F.lit(1), F.size("pairs") - (matches - 1))
     lists = materialise(left.select("cid", "central", F.explode(F.transform(prefix, lambda x: x.pair)).alias("pair")), "neardup-lists")
-    candidates = materialise(classes.join(lists.select("cid").distinct(), "cid", "left_semi").select("cid", "rep", "fp", "sig"), "neardup-candidates")
-    # Full sets of the candidates alone: a bounded broadcast of id buckets keeps most other texts out of the join.
-    bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(BUCKETS))
-    wanted = F.broadcast(candidates.select(bucket("rep").alias("bucket")).distinct())
-    texts = docs.select("doc_id", "text").join(wanted, bucket("doc_id") == wanted.bucket, "left_semi").mapInArrow(_setter(words), SETS)
-    ids = candidates.select("cid", "rep", F.col("fp").alias("own"))
-    sets = texts.join(ids, texts.doc_id.eqNullSafe(ids.rep) & (texts.fp == ids.own)).dropDuplicates(["cid"]).select("cid", "shingles")
-    sets = materialise(sets.withColumn("size", F.size("shingles")), "neardup-sets")
-    signed = candidates.select("cid", "sig")
+    candidates = materialise(classes.join(lists.select("cid").distinct(), "cid", "left_semi").select("cid", FILE, ROW, "sig"), "neardup-candidates")
+    at, signed = candidates.select("cid", FILE, ROW), candidates.select("cid", "sig")
 
     def agreeing(pairs: DataFrame) -> DataFrame:
+        """The pairs a, b whose whole signatures collide often enough."""
         of = lambda c, name: signed.select(F.col("cid").alias(c), F.col("sig").alias(name))
-        return pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").filter(_same_coordinates("sa", "sb") >= matches).select("a", "b")
+        return materialise(pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b").filter(_same_coordinates("sa", "sb") >= matches).select("a", "b"), "neardup-pairs")
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        of = lambda c, name: sets.select(F.col("cid").alias(c), F.col("shingles").alias(name))
-        full = pairs.join(of("a", "xa"), "a").join(of("b", "xb"), "b")
+    def linked(pairs: DataFrame, a_sets: DataFrame, b_sets: DataFrame) -> DataFrame:
+        """The pairs whose sets are as alike as asked."""
+        of = lambda sets, c, name: sets.select(F.col("cid").alias(c), F.col("shingles").alias(name))
+        full = pairs.join(of(a_sets, "a", "xa"), "a").join(of(b_sets, "b", "xb"), "b")
         both = F.size(F.array_intersect("xa", "xb"))
-        return full.filter(100 * both >= percent * (F.size("xa") + F.size("xb") - both)).select("a", "b")
+        return materialise(full.filter(100 * both >= percent * (F.size("xa") + F.size("xb") - both)).select("a", "b"), "neardup-links")
 
-    def grouped(edges: DataFrame) -> DataFrame:
-        found = components(edges)
-        return candidates.select("cid").join(found, F.col("cid") == found.v, "left").select("cid", F.coalesce("l", "cid").alias("l"))
+    def wanted(pairs: DataFrame, *sides: str) -> DataFrame:
+        ids = pairs.select(F.col(sides[0]).alias("cid"))
+        for c in sides[1:]:
+            ids = ids.unionByName(pairs.select(F.col(c).alias("cid")))
+        return sets_of(docs, at.join(ids.distinct(), "cid", "left_semi"), words)
 
     # Around leaders: the class whose values are the most common ones leads a list. Each class
     # meets the leader that most of its lists have, then, if still apart, its other leaders.
     leaders = lists.groupBy("pair").agg(F.max(F.struct("central", "cid")).alias("x")).select("pair", F.col("x.cid").alias("b"))
     met = materialise(lists.join(leaders, "pair").filter("cid <> b").groupBy(F.col("cid").alias("a"), "b").agg(F.count("*").alias("n")), "neardup-met")
-    first = met.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
-    edges = materialise(linked(agreeing(first)), "neardup-links")
-    labels = materialise(grouped(edges), "neardup-labels")
+    first = agreeing(met.groupBy("a").agg(F.max(F.struct("n", "b")).alias("x")).select("a", F.col("x.b").alias("b")))
+    edges = linked(first, wanted(first, "a"), wanted(first, "b"))
+    labels = materialise(merged(at.select("cid", F.col("cid").alias("l")), edges), "neardup-labels")
     of = lambda c, name: labels.select(F.col("cid").alias(c), F.col("l").alias(name))
-    apart = met.join(of("a", "la"), "a").join(of("b", "lb"), "b").filter("la <> lb").select("a", "b")
-    edges = materialise(edges.unionByName(linked(agreeing(apart))), "neardup-links")
-    labels = materialise(grouped(edges), "neardup-labels")
-    # Lists that still hold several groups: all links between these, by the full sets.
+    apart = agreeing(met.join(of("a", "la"), "a").join(of("b", "lb"), "b").filter("la <> lb").select("a", "b"))
+    discard(met, first, edges)
+    if not apart.isEmpty():
+        edges = linked(apart, wanted(apart, "a"), wanted(apart, "b"))
+        labels = materialise(merged(labels, edges), "neardup-labels")
+    # Lists that still hold several groups: all links between these.
     mixed = lists.join(labels, "cid").groupBy("pair").agg(F.min("l").alias("low"), F.max("l").alias("high")).filter("low <> high").select("pair")
-    open_ = lists.join(mixed, "pair", "left_semi").select("cid").distinct()
-    rest = linked(_meeting(sets.join(open_, "cid", "left_semi").join(labels, "cid"), percent))
-    return components(edges.unionByName(rest))
+    open_ = materialise(lists.join(mixed, "pair", "left_semi").select("cid").distinct(), "neardup-open")
+    if not open_.isEmpty():
+        sets = materialise(sets_of(docs, at.join(open_, "cid", "left_semi"), words), "neardup-sets")
+        pairs = agreeing(_meeting(sets.join(labels, "cid"), percent))
+        labels = materialise(merged(labels, linked(pairs, sets, sets)), "neardup-labels")
+        discard(sets, pairs)
+    discard(lists, candidates, open_)
+    return labels
 
 
 def _meeting(sets: DataFrame, percent: int) -> DataFrame:
@@ -199,7 +229,9 @@ def _meeting(sets: DataFrame, percent: int) -> DataFrame:
     by_group = prefix.groupBy("x", "l").agg(F.count("*").alias("n"))
     large = by_group.groupBy("x").agg(F.max(F.struct("n", "l")).alias("g"), F.count("*").alias("groups")).filter("groups > 1").select("x", F.col("g.l").alias("most"))
     # As a table, so that the join's sides are plain exchanges, which can be split where a shingle is hot.
-    here = materialise(prefix.join(materialise(large, "neardup-large"), "x"), "neardup-here")
+    large = materialise(large, "neardup-large")
+    here = materialise(prefix.join(large, "x"), "neardup-here")
+    discard(prefix, large)
     seekers = here.filter("l <> most").select("x", F.col("cid").alias("a"), F.col("l").alias("la"), F.col("size").alias("sa"), F.col("at").alias("ia"))
     found = here.select("x", F.col("cid").alias("b"), F.col("l").alias("lb"), F.col("size").alias("sb"), F.col("at").alias("ib"))
     possible = f"la <> lb AND {100 + percent} * (1 + least(sa - ia, sb - ib)) >= {percent} * (sa + sb)"
@@ -207,43 +239,52 @@ def _meeting(sets: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _labelled(docs: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
-    """doc_id, n_shingles, fp, label and component (the label's smallest id) for each row of docs."""
-    signed = materialise(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_signer(words), SIGNATURE), "neardup-signatures")
-    some = signed.filter("fp IS NOT NULL")
-    classes = some.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "sig")).alias("x")).select("fp", F.col("x.doc_id").alias("rep"), F.col("x.sig").alias("sig"), F.monotonically_increasing_id().alias("cid"))
+def _labelled(rows: DataFrame, words: int, percent: int, matches: int) -> DataFrame:
+    """doc_id, n_shingles, fp, tie, address, label and component (the label's smallest id) of
+    each of `rows`, which have addresses."""
+    docs = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", FILE, ROW)
+    signed = materialise(docs.withColumn("tie", F.xxhash64("text")).mapInArrow(_signer(words), SIGNATURE), "neardup-signatures")
+    found = materialise(signed.drop("sig"), "neardup-rows")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", FILE, ROW, "sig")).alias("x")
+    classes = signed.filter("fp IS NOT NULL").groupBy("fp").agg(first).select("fp", F.col("x.doc_id").alias("rep"), F.col(f"x.{FILE}").alias(FILE), F.col(f"x.{ROW}").alias(ROW), F.col("x.sig").alias("sig"), F.monotonically_increasing_id().alias("cid"))
     classes = materialise(classes, "neardup-classes")
-    links = link_classes(docs.select(F.col("doc_id").cast("long"), "text"), classes, words, percent, matches)
-    named = classes.select("cid", "fp", "rep").join(links, F.col("cid") == links.v, "left").select("fp", "rep", F.coalesce("l", "cid").alias("l"))
-    lowest = materialise(named.groupBy("l").agg(F.min("rep").alias("component")), "neardup-components")
+    discard(signed)
+    links = link_classes(docs, classes, words, percent, matches).withColumnRenamed("cid", "v")
+    named = materialise(classes.select("cid", "fp", "rep").join(links, F.col("cid") == links.v, "left").select("fp", "rep", F.coalesce("l", "cid").alias("l")), "neardup-named")
+    discard(classes, links)
+    lowest = named.groupBy("l").agg(F.min("rep").alias("component"))
     by_set = named.join(lowest, "l").select(F.col("fp").alias("of"), F.col("l").alias("label"), "component")
-    return signed.join(by_set, signed.fp == by_set.of, "left").select("doc_id", "n_shingles", "fp", "label", "component")
+    return found.join(by_set, found.fp == by_set.of, "left").drop("of")
 
 
 def group(docs: DataFrame, words: int = SHINGLE, percent: int = LINK_PERCENT, matches: int = MATCHES) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for each row of docs (doc_id, text)."""
     component = F.coalesce("component", "doc_id")
-    return _labelled(docs, words, percent, matches).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return _labelled(addressed(docs.select("doc_id", "text")), words, percent, matches).select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def _printer(words: int):
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            yield batch.append_column("__dup_fp", pa.array(_prints(*shingle_sets(batch.column("text"), words)), pa.binary()))
+def _keeper(folder: str, names: list[str]):
+    sides = Sides(folder)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, _ = sides.find(*(batch.column(c).to_numpy(zero_copy_only=False) for c in (FILE, ROW)))
+            stays = found | ~batch.column("__dup_words").to_numpy(zero_copy_only=False)
+            yield batch.select(names).filter(pa.array(stays))
+        tidy()
 
-    return prints
+    return keep
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of docs for each component, one of its smallest doc_id (of several such rows
-    one of the smallest set's digest, then of the smallest text); rows with an empty set all
-    stay. The same columns as docs."""
-    found = _labelled(docs.select("doc_id", "text"), SHINGLE, LINK_PERCENT, MATCHES)
+    one of the smallest set's digest, then of the smallest text's digest); rows with an empty
+    set all stay. The same columns as docs. Which rows stay is told by their addresses."""
+    rows = addressed(docs)
+    found = _labelled(rows, SHINGLE, LINK_PERCENT, MATCHES)
     # A component without any id has rows of null alone.
-    chosen = found.filter("fp IS NOT NULL AND doc_id <=> component").groupBy("label").agg(F.min("fp").alias("__dup_of"), F.min("doc_id").alias("__dup_id"))
-    printed = docs.mapInArrow(_printer(SHINGLE), T.StructType([*docs.schema.fields, T.StructField("__dup_fp", T.BinaryType())]))
-    one = printed.join(chosen.drop("label"), (F.col("__dup_fp") == F.col("__dup_of")) & F.col("doc_id").cast("long").eqNullSafe(F.col("__dup_id")))
-    # A window over rows of one set and one id.
-    rank = F.row_number().over(Window.partitionBy("__dup_fp").orderBy("text"))
-    kept = one.withColumn("__dup_rank", rank).filter("__dup_rank = 1").select(*docs.columns)
-    return kept.unionByName(printed.filter("__dup_fp IS NULL").select(*docs.columns))
+    chosen = found.filter("fp IS NOT NULL AND doc_id <=> component").groupBy("label").agg(F.min(F.struct("fp", "tie", FILE, ROW)).alias("x")).select("x.*")
+    folder = fresh_dir(docs.sparkSession, "neardup-kept")
+    write_sides(chosen, folder)
+    discard(found)
+    return rows.withColumn("__dup_words", F.coalesce(F.col("text").rlike(WORD), F.lit(False))).mapInArrow(_keeper(folder, docs.columns), docs.schema)
