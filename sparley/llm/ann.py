@@ -16,9 +16,10 @@ rows and reads one block of queries after the other against it, so neither side
 shuffled or broadcast and each query leaves a task with k rows for each run. Ties go to
 the smaller id throughout; equal vectors have equal codes and equal scores.
 
-Defined results: vectors that are null, of another length than the index, zero, or hold a
-null or a number that isn't finite take no part as queries or candidates, nor do rows
-with a null id; repeated rows are candidates each, and a query id that repeats asks once,
+Defined results: vectors that are null, zero, or hold a null or a number that isn't
+finite take no part as queries or candidates, nor do rows with a null id; vectors of
+several lengths are an index for each, as an inner product takes equal lengths, and a
+query meets those of its own; repeated rows are candidates each, and a query id that repeats asks once,
 with the smallest of its vectors; with fewer candidates than k, all
 come back; an empty table gives an empty result. Extra columns are ignored.
 """
@@ -269,15 +270,20 @@ def search(vectors: DataFrame, queries: Column, k: int = NEAREST, rerank: int =
     embedding) that `queries` is true for, but for the query's own id."""
     spark = vectors.sparkSession
     valid = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("vector"), queries.alias("asks")).filter(F.col("vec_id").isNotNull() & takes_part(F.col("vector")))
-    # The sample: a digest's order, so it doesn't depend on the files. At most `sample` rows go to the driver.
-    taken = valid.select("vec_id", "vector", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id").limit(sample).collect()
-    if not taken:
+    valid = valid.withColumn("length", F.size("vector"))
+    # A query id asks once, with the smallest of its vectors.
+    asked = valid.filter(F.coalesce("asks", F.lit(False))).groupBy("vec_id").agg(F.min("vector").alias("vector")).withColumn("length", F.size("vector"))
+    found = None
+    for d in sorted(row["length"] for row in valid.select("length").distinct().collect()):
+        own = valid.filter(F.col("length") == d)
+        # The sample: a digest's order, so it doesn't depend on the files. At most `sample` rows go to the driver.
+        taken = own.select("vec_id", "vector", F.xxhash64("vec_id").alias("h")).orderBy("h", "vec_id", "vector").limit(sample).collect()
+        quantiser = Quantiser.fit(np.array([row["vector"] for row in taken], np.float64), threshold)
+        folder = fresh_dir(spark, "ann")
+        paths = sorted(row["path"] for row in asked.filter(F.col("length") == d).select("vec_id", "vector").mapInArrow(_query_writer(folder), "path string").collect())
+        part = own.select("vec_id", "vector").mapInArrow(_searcher(quantiser, paths, k, rerank), FOUND)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    d = len(taken[0]["vector"])
-    quantiser = Quantiser.fit(np.array([row["vector"] for row in taken if len(row["vector"]) == d], np.float64), threshold)
-    valid = valid.filter(F.size("vector") == d)
-    asked = valid.filter(F.coalesce("asks", F.lit(False))).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    paths = sorted(row["path"] for row in asked.mapInArrow(_query_writer(fresh_dir(spark, "ann")), "path string").collect())
-    found = valid.select("vec_id", "vector").mapInArrow(_searcher(quantiser, paths, k, rerank), FOUND)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

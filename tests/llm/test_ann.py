@@ -72,3 +72,30 @@ def test_edge_cases(spark):
     got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.search(df, F.col("vec_id") % 20 == 0).collect()}
     assert got == {(0, 1): (1, 2.0), (0, 2): (1, 2.0), (0, 3): (20, 1.0), (20, 1): (1, 2.0), (20, 2): (1, 2.0), (20, 3): (0, 1.0)}
     assert ann.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_vectors_of_several_lengths_search_among_their_own(spark):
+    chance = np.random.Generator(np.random.PCG64(9))
+    rows = [(k, chance.normal(size=3).tolist()) for k in range(200)] + [(k, chance.normal(size=2).tolist()) for k in range(1000, 1005)]
+    for first in (rows, rows[::-1]):
+        df = spark.createDataFrame(first, "vec_id long, embedding array<double>")
+        got = {}
+        for r in sorted(ann.search(df, F.col("vec_id") % 20 == 0).collect(), key=lambda r: r["rank"]):
+            got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        own = np.arange(200), np.array([v for _, v in rows[:200]])
+        assert all(got[q] == nearest(*own, q) for q in range(0, 200, 20))
+        assert {i for i, _ in got[1000]} == {1001, 1002, 1003, 1004} and len(got) == 11
+
+
+def test_recall_of_a_full_run(spark):
+    chance = np.random.Generator(np.random.PCG64(8))
+    x = chance.normal(size=(ann.RUN, 64)).astype(np.float32)
+    ids, asked = np.arange(len(x)), np.arange(0, 40 * 20, 20)
+    quantiser = ann.Quantiser.fit(x[: ann.SAMPLE].astype(float))
+    codes, hits = quantiser.encode(x), 0
+    # The candidates of the four-bit scan alone, before the exhaustive step for those that its bounds leave open.
+    for own, table in zip(asked, quantiser.tables(x[asked].astype(float)), strict=True):
+        rough = sum(t[c] for t, c in zip(table, codes.T, strict=True))
+        best = np.argsort(-rough)[: ann.RERANK + 1]
+        hits += len({i for i, _ in nearest(ids, x.astype(float), own)} & set(best.tolist()))
+    assert hits >= 0.9 * 20 * len(asked)
