@@ -9,6 +9,10 @@ decompressing one frame.
 Executors write bundles under names of their own; the index names those of the tasks
 that counted, so a repeated task leaves nothing but an unread file.
 
+A record's id has its page_id and the address of the row that it was written from, so
+that null and repeated page_ids have records of different ids; the one response that others
+revisit has its payload's digest instead, which those know.
+
 Defined results: a null payload is empty; a null page_id is written as `null` and read
 as null; rows that tie on a group's largest page_id are all responses; a null url gives
 no target header; a record longer than a frame is a frame of its own; an empty table
@@ -28,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import open_fs
+from .common import FILE, ROW, addressed, open_fs
 
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 512 << 20
 #: Only payloads of at least this many bytes are ever revisited.
 LEAST_REVISIT = 1000
-FRAMES_PER_TASK = 64
+#: Frames that are read as one unit, and units of a task where there are very many.
+FRAMES_PER_TASK, UNITS_PER_TASK = 64, 16
 #: Fixed values of the seekable format: the skippable frame's magic number and the footer's.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -43,29 +48,35 @@ RECORD = "page_id long, payload_bytes long, payload_digest string, record_type s
 
 
 def assign_records(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest, refers_to (null for responses)."""
+    """page_id, url, html, payload_bytes, payload_digest, refers_to (null for responses) and
+    name, which tells all records apart."""
     html = F.coalesce("html", F.lit(""))
-    keyed = pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha1(F.encode(html, "UTF-8")).alias("payload_digest"))
-    groups = keyed.filter(F.col("payload_bytes") >= least).groupBy("payload_digest").agg(F.max("page_id").alias("top"), F.count("*").alias("n")).filter("n > 1")
-    joined = keyed.join(groups.select(F.col("payload_digest").alias("d"), "top").hint("shuffle_hash"), F.col("payload_digest") == F.col("d"), "left")
-    revisits = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top"))
-    return joined.select("page_id", "url", "html", "payload_bytes", "payload_digest", F.when(revisits, F.col("top")).alias("refers_to"))
+    keyed = addressed(pages.select("page_id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("payload_bytes"), F.sha1(F.encode(html, "UTF-8")).alias("payload_digest")))
+    top = F.max(F.struct("page_id", FILE, ROW)).alias("top")  # null is least
+    groups = keyed.filter(F.col("payload_bytes") >= least).groupBy(F.col("payload_digest").alias("d")).agg(top, F.count("*").alias("n"))
+    groups = groups.filter("n > 1 AND top.page_id IS NOT NULL").select("d", "top")
+    joined = keyed.join(groups.hint("shuffle_hash"), F.col("payload_digest") == F.col("d"), "left")
+    revisits = F.col("top").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("top.page_id"))
+    stands = F.coalesce((F.col(FILE) == F.col(f"top.{FILE}")) & (F.col(ROW) == F.col(f"top.{ROW}")), F.lit(False))
+    page = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
+    name = F.when(stands, F.concat_ws(":", page, "payload_digest")).otherwise(F.concat_ws(":", page, F.concat(F.hex(FILE), F.lit("-"), F.col(ROW).cast("string"))))
+    return joined.select("page_id", "url", "html", "payload_bytes", "payload_digest", F.when(revisits, F.col("top.page_id")).alias("refers_to"), name.alias("name"))
 
 
-def record_id(page_id: int | None) -> str:
-    return f"urn:sparley:page:{'null' if page_id is None else page_id}"
+def record_id(name: str) -> str:
+    return f"urn:sparley:page:{name}"
 
 
-def encode_record(page_id: int | None, url: str | None, payload: bytes, size: int, digest: str, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
+def encode_record(name: str, url: str | None, payload: bytes, size: int, digest: str, refers_to: int | None, date: str = "1970-01-01T00:00:00Z") -> bytes:
     """A WARC/1.1 record. A revisit's block has the HTTP header alone, which keeps the payload's size."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     block = http + payload if refers_to is None else http
-    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{record_id(page_id)}>", f"WARC-Date: {date}"]
+    lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{record_id(name)}>", f"WARC-Date: {date}"]
     if url is not None:
         lines.append("WARC-Target-URI: " + re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url))
     lines.append("WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(digest)).decode())
     if refers_to is not None:
-        lines += [f"WARC-Refers-To: <{record_id(refers_to)}>", f"WARC-Profile: {PROFILE}"]
+        lines += [f"WARC-Refers-To: <{record_id(f'{refers_to}:{digest}')}>", f"WARC-Profile: {PROFILE}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]
     return "\r\n".join(lines).encode() + block + b"\r\n\r\n"
 
@@ -86,7 +97,7 @@ def decode_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes, int]]:
 
 def parse_record(header: dict[str, str], block: bytes) -> dict:
     """The RECORD columns and the payload (None for a revisit); checks a response's digest."""
-    page = lambda x: None if (n := x.strip("<>").rpartition(":")[2]) == "null" else int(n)
+    page = lambda x: None if (n := x.strip("<>").split(":")[3]) == "null" else int(n)
     digest = base64.b32decode(header["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
     http, _, payload = block.partition(b"\r\n\r\n")
     size = int(re.search(rb"(?i)\r\nContent-Length: (\d+)", http)[1])
@@ -155,17 +166,17 @@ def _writer(folder: str, frame_bytes: int, bundle_bytes: int):
                 frame, rows, size = [], [], 0
 
         for batch in batches:
-            for page_id, url, html, n, digest, refers_to in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+            for page_id, url, html, n, digest, refers_to, record in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
                 if bundle is None:
                     name = f"bundle-{uuid.uuid4().hex}.warc.zst"
                     files.create_dir(path, recursive=True)
                     bundle = BundleWriter(files.open_output_stream(f"{path}/{name}", compression=None))
-                record = encode_record(page_id, url, html.encode() if refers_to is None else b"", n, digest, refers_to)
-                if size and size + len(record) > frame_bytes:
+                data = encode_record(record, url, html.encode() if refers_to is None else b"", n, digest, refers_to)
+                if size and size + len(data) > frame_bytes:
                     flush()
-                rows.append((record_id(page_id), page_id, name, len(bundle.sizes), size, len(record)))
-                frame.append(record)
-                size += len(record)
+                rows.append((record_id(record), page_id, name, len(bundle.sizes), size, len(data)))
+                frame.append(data)
+                size += len(data)
                 if bundle.bytes >= bundle_bytes:
                     flush()
                     bundle.close()
@@ -207,7 +218,10 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     """The RECORD columns of all records of an archive, decoded from its bundles."""
     index = spark.read.schema(INDEX).parquet(f"{folder}/index")
     units = index.groupBy("bundle").agg(F.max("frame").alias("last")).select("bundle", F.explode(F.expr(f"sequence(0, last, {FRAMES_PER_TASK})")).alias("begin"))
-    return units.repartition(F.col("bundle"), F.col("begin")).mapInArrow(_reader(folder), RECORD)
+    # An explicit number of partitions, as tiny rows that stand for much work would be put into one task.
+    n = units.count()
+    tasks = max(1, min(n, 4 * spark.sparkContext.defaultParallelism), n // UNITS_PER_TASK)
+    return units.repartition(tasks).mapInArrow(_reader(folder), RECORD)
 
 
 def read_payload(folder: str, bundle: str, frame: int, offset: int) -> dict:
