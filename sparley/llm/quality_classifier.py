@@ -1,41 +1,51 @@
 """Quality classification by co-training of two views.
 
 One classifier sees a document's text (hashed words, pairs of neighbouring bytes, which
-tell letter case and symbols, and how much it repeats itself), the other its metadata (source, language, length).
-Both rest on naive Bayes. In each round either labels the unlabelled documents it is surest
-of, and the other learns from these too; calibration on held-out labels turns each view's
-score into a probability, and a last calibrated step combines the views. The fitted
-weights then score all documents.
-
-Fitting uses at most LABELLED labelled and UNLABELLED other documents, the first by a
-digest of their id, whatever the input's size; their features are all that goes to the
-driver.
+tell letter case and symbols, and how much it repeats itself), the other its metadata
+(source, language, length). Both rest on naive Bayes. In each round either labels those of
+all documents that it is sure of, and the other learns from these too: executors score
+every document and send back sums over the pseudo-labelled ones by class, of a fixed size
+whatever the input's. Calibration on held-out labels turns each view's score into a
+probability, and a last calibrated step combines the views. The fitted weights then score
+all documents.
+
+Labels are used of at most LABELLED documents, the first by a digest of their id; their
+features, one row an id, are all that goes to the driver besides the sums. Pseudo-labels
+count as much as the labels of their class, or less while there are fewer of them.
 
 Defined results: a null or empty text leaves the text view neutral; null metadata is a
 value of its own, and values not met in fitting are neutral; a doc_id with several labels
-has the smallest; null labels are ignored; without labels of both classes every document
-is kept with probability one; repeated rows are scored alike; an empty table gives an
-empty result. Columns of the input pass through; those named as the results are replaced.
+has the smallest, one with several rows is learnt from the first of them by features; null
+labels are ignored; without labels of both classes every document is kept with probability
+one; repeated rows are scored alike; an empty table gives an empty result. Columns of the
+input pass through; those named as the results are replaced.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import buffers, hashed_words, slices
 
-LABELLED, UNLABELLED = 4000, 2000
-ROUNDS, SURE, A_ROUND = 4, 0.98, 200
+LABELLED = 4000
+ROUNDS, SURE = 4, 0.98
 THRESHOLD = 0.5
 WORD_BUCKETS = 1 << 15
 BYTE_PAIRS = 1 << 16
+META_BUCKETS = 1 << 14
+#: Sums are whole numbers of this part of a document, so they don't depend on the order of adding.
+UNIT = 1 << 24
+#: Numbers of a sum that travel together, and groups of tasks whose sums are added up first.
+CHUNK, DEALS = 1024, 512
 #: Documents are drawn to neutral as if they had this many more neutral words.
 SHRINK = 10
 CALIBRATION = 3  # one in so many labelled documents is held out
@@ -78,16 +88,19 @@ def repetition(words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.column_stack(out)
 
 
-def metadata(batch: pa.RecordBatch) -> list[np.ndarray]:
-    """source, lang and the logarithm of n_chars as strings; a missing column is null."""
-    out = []
-    for name in META:
+def metadata(batch: pa.RecordBatch) -> np.ndarray:
+    """[rows, len(META)]: buckets of source, language and the logarithm of n_chars; a missing
+    column is null."""
+    out = np.empty((batch.num_rows, len(META)), np.int64)
+    for k, name in enumerate(META):
         if name not in batch.schema.names:
-            out.append(np.array(["null"] * batch.num_rows, object))
+            values = ["null"] * batch.num_rows
         elif name == "n_chars":
-            out.append(np.array(["null" if x is None or x < 0 else str(int(2 * np.log2(x + 1))) for x in batch.column(name).to_pylist()], object))
+            values = ["null" if x is None or x < 0 else str(int(2 * np.log2(x + 1))) for x in batch.column(name).to_pylist()]
         else:
-            out.append(np.array(["null" if x is None else f"={x}" for x in batch.column(name).to_pylist()], object))
+            values = ["null" if x is None else f"={x}" for x in batch.column(name).to_pylist()]
+        met = {v: zlib.crc32(f"{name}{v}".encode()) % META_BUCKETS for v in set(values)}
+        out[:, k] = [k * META_BUCKETS + met[v] for v in values]
     return out
 
 
@@ -122,87 +135,153 @@ def _ratios(good: np.ndarray, bad: np.ndarray, add: float) -> np.ndarray:
 class Model:
     words: np.ndarray = field(default_factory=lambda: np.zeros(WORD_BUCKETS))
     pairs: np.ndarray = field(default_factory=lambda: np.zeros(BYTE_PAIRS))
-    meta: list[dict[str, float]] = field(default_factory=lambda: [{} for _ in META])
+    meta: np.ndarray = field(default_factory=lambda: np.zeros(len(META) * META_BUCKETS))
     text_scale: np.ndarray = field(default_factory=lambda: np.zeros(5))
     meta_scale: np.ndarray = field(default_factory=lambda: np.zeros(2))
     both: np.ndarray = field(default_factory=lambda: np.zeros(3))
     fitted: bool = False
 
-    def score(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """p_text, p_meta and p_quality of each row."""
-        words, word_offsets, pairs, pair_offsets = text_features(batch.column("text"))
+    def views(self, batch: pa.RecordBatch, features: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """p_text and p_meta of each row."""
+        words, word_offsets, pairs, pair_offsets = features
+        if not self.fitted:
+            return (np.ones(batch.num_rows),) * 2
         x = np.column_stack([row_means(self.words[words], word_offsets, SHRINK), row_means(self.pairs[pairs], pair_offsets, 5 * SHRINK), repetition(words, word_offsets)])
-        m = sum(np.array([table.get(v, 0.0) for v in column], float) for table, column in zip(self.meta, metadata(batch), strict=True))
-        return self.combine(x, np.asarray(m).reshape(-1, 1))
+        return probability(self.text_scale, x), probability(self.meta_scale, self.meta[metadata(batch)].sum(axis=1).reshape(-1, 1))
 
-    def combine(self, x: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        if not self.fitted:
-            return (np.ones(len(x)),) * 3
-        text, meta = probability(self.text_scale, x), probability(self.meta_scale, m)
-        return text, meta, probability(self.both, np.column_stack([logit(text), logit(meta)]))
+    def score(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """p_text, p_meta and p_quality of each row."""
+        text, meta = self.views(batch, text_features(batch.column("text")))
+        return text, meta, probability(self.both, np.column_stack([logit(text), logit(meta)])) if self.fitted else text
 
 
 @dataclass
 class Sample:
-    """Features of sampled documents: sparse counts as shares of a document, and metadata."""
+    """Features of labelled documents: sparse counts as shares of a document, and metadata."""
 
-    rows: list[tuple]  # word buckets, shares, pair codes, shares, metadata, label or -1, what shrinking leaves of either, repetition
+    rows: list[tuple]  # word buckets, shares, pair codes, shares, metadata buckets, label, what shrinking leaves of either, repetition
 
     def text_counts(self, chosen: np.ndarray, part: int, size: int) -> np.ndarray:
         at = [self.rows[i][2 * part] for i in chosen]
         share = [self.rows[i][2 * part + 1] for i in chosen]
         return np.bincount(np.concatenate(at), np.concatenate(share), size) if at else np.zeros(size)
 
+    def meta_counts(self, chosen: np.ndarray) -> np.ndarray:
+        at = [self.rows[i][4] for i in chosen]
+        return np.bincount(np.concatenate(at), minlength=len(META) * META_BUCKETS).astype(float) if at else np.zeros(len(META) * META_BUCKETS)
+
     def means(self, model: Model) -> tuple[np.ndarray, np.ndarray]:
         x = np.array([[model.words[r[0]] @ r[1] * r[6], model.pairs[r[2]] @ r[3] * r[7], *r[8]] for r in self.rows]).reshape(-1, 4)
-        m = np.array([[sum(t.get(v, 0.0) for t, v in zip(model.meta, r[4], strict=True))] for r in self.rows]).reshape(-1, 1)
-        return x, m
+        return x, np.array([[model.meta[r[4]].sum()] for r in self.rows]).reshape(-1, 1)
+
+
+#: Where the parts of a class's sum are: words, byte pairs, metadata, documents told by metadata and by text.
+WORDS_AT, PAIRS_AT, META_AT = 0, WORD_BUCKETS, WORD_BUCKETS + BYTE_PAIRS
+TOLD_AT = META_AT + len(META) * META_BUCKETS
+SUM_SIZE = TOLD_AT + 2
 
 
-def fit(sample: Sample, rounds: int = ROUNDS, sure: float = SURE, a_round: int = A_ROUND) -> Model:
+def fit(sample: Sample, tell: Callable[[Model], np.ndarray], rounds: int = ROUNDS) -> Model:
+    """tell: the sums [2, SUM_SIZE], bad and good, over what the model's views are sure of."""
     label = np.array([r[5] for r in sample.rows], int)
-    known = np.flatnonzero(label >= 0)
-    held, free = known[::CALIBRATION], np.flatnonzero(label < 0)
+    known = np.arange(len(label))
+    held = known[::CALIBRATION]
     learnt = np.setdiff1d(known, held)
     model = Model()
     if min(len(set(label[held].tolist())), len(set(label[learnt].tolist()))) < 2:
         return model
     model.fitted = True
-    pseudo = {"text": {}, "meta": {}}  # what each view is told by the other
+    classes = [learnt[label[learnt] == c] for c in (0, 1)]
+    own = np.zeros((2, SUM_SIZE))
+    for c, chosen in enumerate(classes):
+        own[c, WORDS_AT:PAIRS_AT] = sample.text_counts(chosen, 0, WORD_BUCKETS)
+        own[c, PAIRS_AT:META_AT] = sample.text_counts(chosen, 1, BYTE_PAIRS)
+        own[c, META_AT:TOLD_AT] = sample.meta_counts(chosen)
+    told = np.zeros((2, SUM_SIZE), np.int64)
     for turn in range(rounds + 1):
-        def classes(view: str) -> list[np.ndarray]:
-            told = pseudo[view]
-            return [np.concatenate([learnt[label[learnt] == c], np.array([i for i, v in told.items() if v == c], int)]) for c in (1, 0)]
-
-        good, bad = classes("text")
-        model.words = _ratios(100 * sample.text_counts(good, 0, WORD_BUCKETS), 100 * sample.text_counts(bad, 0, WORD_BUCKETS), 1.0)
-        model.pairs = _ratios(100 * sample.text_counts(good, 1, BYTE_PAIRS), 100 * sample.text_counts(bad, 1, BYTE_PAIRS), 0.05)
-        good, bad = classes("meta")
-        for k in range(len(META)):
-            counts = [{}, {}]
-            for c, chosen in enumerate((bad, good)):
-                for i in chosen.tolist():
-                    v = sample.rows[i][4][k]
-                    counts[c][v] = counts[c].get(v, 0) + 1
-            values = counts[0] | counts[1]
-            ratios = _ratios(np.array([counts[1].get(v, 0) for v in values], float), np.array([counts[0].get(v, 0) for v in values], float), 1.0)
-            model.meta[k] = dict(zip(values, ratios.tolist(), strict=True))
+        sums = own.copy()
+        for c, chosen in enumerate(classes):
+            # As much as the labels of the class at most.
+            for at, part in ((TOLD_AT, slice(WORDS_AT, META_AT)), (TOLD_AT + 1, slice(META_AT, TOLD_AT))):
+                if told[c, at]:
+                    sums[c, part] += told[c, part] / UNIT * min(1.0, len(chosen) / (told[c, at] / UNIT))
+        bad, good = sums
+        model.words = _ratios(100 * good[WORDS_AT:PAIRS_AT], 100 * bad[WORDS_AT:PAIRS_AT], 1.0)
+        model.pairs = _ratios(100 * good[PAIRS_AT:META_AT], 100 * bad[PAIRS_AT:META_AT], 0.05)
+        model.meta = np.concatenate([_met_ratios(*(v[META_AT + k * META_BUCKETS :][:META_BUCKETS] for v in (good, bad))) for k in range(len(META))])
         x, m = sample.means(model)
         model.text_scale = logistic(x[held], label[held])
         model.meta_scale = logistic(m[held], label[held])
-        text, meta = probability(model.text_scale, x), probability(model.meta_scale, m)
-        if turn < rounds:
-            for p, other in ((text, "meta"), (meta, "text")):
-                open_ = np.array([i for i in free.tolist() if i not in pseudo[other]], int)
-                sureness = np.maximum(p[open_], 1 - p[open_])
-                for i in open_[np.argsort(-sureness, kind="stable")][:a_round].tolist():
-                    if max(p[i], 1 - p[i]) >= sure:
-                        pseudo[other][i] = int(p[i] >= 0.5)
+        if turn == rounds:
+            break
+        before, told = told, tell(model)
+        if turn and np.array_equal(before, told):
+            break
+    text, meta = probability(model.text_scale, x), probability(model.meta_scale, m)
     model.both = logistic(np.column_stack([logit(text[held]), logit(meta[held])]), label[held])
     return model
 
 
-_FEATURES = "doc_id long, words binary, word_shares binary, pairs binary, pair_shares binary, meta array<string>, label int, shrunk array<double>, repetition array<double>"
+def _met_ratios(good: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Ratios of the values that were met; 0 of others."""
+    out, met = np.zeros(len(good)), (good > 0) | (bad > 0)
+    out[met] = _ratios(good[met], bad[met], 1.0)
+    return out
+
+
+def _row_of(offsets: np.ndarray) -> np.ndarray:
+    return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
+def _teller(model: Model, sure: float, skip: np.ndarray):
+    """Sums over the documents that a view is sure of, but for those of the ids `skip`: what
+    the text view is sure of tells metadata, and the other way round."""
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, SUM_SIZE), np.int64)
+        for batch in slices(batches, "text"):
+            words, word_offsets, pairs, pair_offsets = features = text_features(batch.column("text"))
+            text, meta = model.views(batch, features)
+            own = metadata(batch)
+            ids = batch.column("doc_id").fill_null(0).to_numpy()
+            open_ = ~(np.isin(ids, skip) & ~batch.column("doc_id").is_null().to_numpy(zero_copy_only=False))
+            for c in (0, 1):
+                by_text, by_meta = ((p >= sure if c else p <= 1 - sure) & open_ for p in (text, meta))
+                for values, offsets, at in ((words, word_offsets, WORDS_AT), (pairs, pair_offsets, PAIRS_AT)):
+                    row = _row_of(offsets)
+                    mine = by_meta[row]
+                    share = np.round(UNIT / np.maximum(np.diff(offsets), 1))[row[mine]]
+                    size = (WORD_BUCKETS, BYTE_PAIRS)[at == PAIRS_AT]
+                    sums[c, at : at + size] += np.bincount(values[mine], share, size).astype(np.int64)
+                sums[c, META_AT:TOLD_AT] += UNIT * np.bincount(own[by_text].ravel(), minlength=TOLD_AT - META_AT)
+                sums[c, TOLD_AT:] += UNIT * np.array([by_meta.sum(), by_text.sum()])
+        deal = TaskContext.get().partitionId() % DEALS
+        for c in (0, 1):
+            for k in range(0, SUM_SIZE, CHUNK):
+                if sums[c, k : k + CHUNK].any():
+                    yield pa.RecordBatch.from_arrays([pa.array([c * SUM_SIZE + k], pa.int32()), pa.array([deal], pa.int32()), pa.array([sums[c, k : k + CHUNK].tobytes()])], ["at", "deal", "sums"])
+
+    return tell
+
+
+def _added(key: tuple, parts: pa.Table) -> pa.Table:
+    total = sum(np.frombuffer(x.as_py(), np.int64) for x in parts.column("sums"))
+    return pa.table({"at": pa.array([key[0].as_py()], pa.int32()), "deal": pa.array([0], pa.int32()), "sums": pa.array([total.tobytes()])})
+
+
+def told_by(docs: DataFrame, model: Model, sure: float, skip: np.ndarray) -> np.ndarray:
+    """The sums [2, SUM_SIZE] over all documents. Tasks' sums are added up in two steps, so no
+    task takes those of all others."""
+    kind = "at int, deal int, sums binary"
+    sums = docs.mapInArrow(_teller(model, sure, skip), kind).groupBy("at", "deal").applyInArrow(_added, kind).groupBy("at").applyInArrow(_added, kind)
+    out = np.zeros(2 * SUM_SIZE, np.int64)
+    for row in sums.collect():
+        part = np.frombuffer(row["sums"], np.int64)
+        out[row["at"] : row["at"] + len(part)] = part
+    return out.reshape(2, -1)
+
+
+_FEATURES = "doc_id long, words binary, word_shares binary, pairs binary, pair_shares binary, meta binary, label int, shrunk array<double>, repetition array<double>"
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,27 +297,25 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, word_offsets, pairs, pair_offsets = text_features(batch.column("text"))
         shrunk = np.column_stack([n / (n + k) for n, k in ((np.diff(word_offsets), SHRINK), (np.diff(pair_offsets), 5 * SHRINK))])
         lists = lambda x: pa.array(x.tolist(), pa.list_(pa.float64()))
-        meta = pa.array([list(x) for x in zip(*metadata(batch), strict=True)], pa.list_(pa.string()))
+        meta = pa.array([x.tobytes() for x in metadata(batch)], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *sparse(words, word_offsets), *sparse(pairs, pair_offsets), meta, batch.column("label"), lists(shrunk), lists(repetition(words, word_offsets))], ["doc_id", "words", "word_shares", "pairs", "pair_shares", "meta", "label", "shrunk", "repetition"])
 
 
-def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> Model:
+def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, rounds: int = ROUNDS, sure: float = SURE) -> Model:
     """A model of docs (doc_id, text and metadata) and labels (doc_id, quality 0 or 1)."""
     order = F.xxhash64("doc_id")
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("label"))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL")
-    known = marks.join(ids.distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled)
-    pool = ids.distinct().join(marks, "doc_id", "left_anti").orderBy(order, "doc_id").limit(unlabelled).select("doc_id", F.lit(-1).alias("label"))
-    chosen = F.broadcast(known.select("doc_id", "label").unionByName(pool))  # at most labelled + unlabelled rows
     names = [c for c in META if c in docs.columns]
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *names).join(chosen, "doc_id")
-    kinds, rows = (np.int32, np.float32) * 2, {}
-    for row in marked.mapInArrow(_features, _FEATURES).collect():
-        features = (*(np.frombuffer(row[k + 1], t) for k, t in enumerate(kinds)), row["meta"], row["label"], *row["shrunk"], row["repetition"])
-        key = (row["doc_id"], features[0].tobytes(), features[2].tobytes())
-        if row["doc_id"] not in rows or key < rows[row["doc_id"]][0]:  # of an id that repeats, always the same row
-            rows[row["doc_id"]] = key, features
-    return fit(Sample([rows[k][1] for k in sorted(rows, key=lambda i: (i * 0x9E3779B97F4A7C15 & (1 << 64) - 1, i))]))
+    seen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *names)
+    known = F.broadcast(marks.join(seen.select("doc_id"), "doc_id", "left_semi").orderBy(order, "doc_id").limit(labelled))  # so many rows at most
+    features = seen.join(known, "doc_id").mapInArrow(_features, _FEATURES)
+    one = features.groupBy("doc_id").agg(F.min(F.struct(*features.columns[1:])).alias("x")).select("doc_id", "x.*")
+    rows, kinds = {}, (np.int32, np.float32, np.int32, np.float32, np.int64)
+    for row in one.collect():
+        rows[row["doc_id"]] = (*(np.frombuffer(row[k + 1], t) for k, t in enumerate(kinds)), row["label"], *row["shrunk"], row["repetition"])
+    skip = np.array(sorted(rows), np.int64)
+    sample = Sample([rows[k] for k in sorted(rows, key=lambda i: (i * 0x9E3779B97F4A7C15 & (1 << 64) - 1, i))])
+    return fit(sample, lambda model: told_by(seen, model, sure, skip), rounds)
 
 
 def _scorer(model: Model, threshold: float):
@@ -252,14 +329,22 @@ def _scorer(model: Model, threshold: float):
     return score
 
 
-def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **bounds: int) -> DataFrame:
+def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options: float) -> DataFrame:
     """docs with p_text, p_meta, p_quality and kept (p_quality >= threshold)."""
     docs = docs.drop(*RESULTS)
-    model = train(docs, labels, **bounds)
+    model = train(docs, labels, **options)
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, T.DoubleType()) for n in RESULTS[:3]), T.StructField(RESULTS[3], T.BooleanType())])
     return docs.mapInArrow(_scorer(model, threshold), schema)
 
 
-def keep(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The documents that the classifier keeps; the same columns as docs."""
-    return judge(docs, labels, **options).filter("kept").select(*docs.columns)
+def _keeper(model: Model, threshold: float):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            yield batch.filter(pa.array(model.score(batch)[2] >= threshold))
+
+    return keep
+
+
+def keep(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **options: float) -> DataFrame:
+    """The documents that the classifier keeps; the same columns as docs, whatever their names."""
+    return docs.mapInArrow(_keeper(train(docs, labels, **options), threshold), docs.schema)
