@@ -74,6 +74,8 @@ QUERIES = {
 
 _CHARS = "length(translate({}, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))"
 
+_MARKS = quality_rules.MARKS
+
 OP5_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 a AS (SELECT doc_id, t, regexp_extract_all(t, '{W}') AS ws,
@@ -83,12 +85,13 @@ h AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x, y, z) AS n FROM g
 r AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words FROM h, (VALUES (0), (1), (2)) AS v(k) WHERE n > 1 GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(ls) AS line FROM a),
 m AS (SELECT doc_id, {_CHARS.format("line")} AS chars, line,
-             len(regexp_extract_all(line, '[#*$%&|<>{{}}\\\\^~=_]|[!?]{{2,}}')) AS marks,
-             len(regexp_extract_all(line, '[|»›·•]')) AS seps, len(regexp_extract_all(line, '{W}')) AS words FROM l),
+             length(line) - length(translate(line, '{_MARKS}', '')) + len(regexp_extract_all(line, '[!?]{{2,}}')) AS marks,
+             length(line) - length(translate(line, '{quality_rules.NAVIGATION}', '')) AS seps, len(regexp_extract_all(line, '{W}')) AS words FROM l),
 k AS (SELECT doc_id, CAST(sum(chars) AS BIGINT) AS kept_chars FROM m
       WHERE regexp_matches(line, '[\\p{{L}}\\p{{N}}]') AND marks <= {quality_rules.MOST_MARKS} * chars
+        AND (regexp_matches(line, '{quality_rules.CLOSING.replace("'", "''")}') OR words > {quality_rules.OPEN_WORDS})
         AND NOT (seps >= {quality_rules.SEPARATORS} AND seps * {quality_rules.SEPARATOR_WORDS} >= words)
-        AND NOT (regexp_matches(lower(line), '{"|".join(quality_rules.BOILERPLATE)}') AND words <= {quality_rules.BOILERPLATE_WORDS})
+        AND NOT (length(line) <= {quality_rules.BOILERPLATE_CHARS} AND ({" OR ".join("contains(lower(line), '" + x.replace("'", "''") + "')" for x in quality_rules.BOILERPLATE)}))
       GROUP BY doc_id),
 o AS (SELECT a.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST({_CHARS.format("t")} AS BIGINT) AS word_chars,
              CAST(length(t) - length(translate(t, '{quality_rules.SYMBOLS}', '')) AS BIGINT) AS n_symbols,
@@ -99,8 +102,8 @@ f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_fail
 SELECT *, NOT base_failed AND kept_chars >= {quality_rules.LEAST_KEPT} * word_chars AS kept FROM f"""
 
 
-def _hex7(text: str) -> str:
-    return f"CAST(('0x' || substr(md5({text}), 1, 7)) AS BIGINT)"
+def _hex(text: str, digits: int) -> str:
+    return f"CAST(('0x' || substr(md5({text}), 1, {digits})) AS BIGINT)"
 
 
 def _seats(parties: str, by: str, votes: str, seats: str, order: str, name: str) -> str:
@@ -116,7 +119,7 @@ def _seats(parties: str, by: str, votes: str, seats: str, order: str, name: str)
 
 
 OP8_SQL = f"""
-WITH sizes AS (SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '{W}')), 0) AS BIGINT) AS size, source FROM documents),
+WITH sizes AS (SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '{W}')), 0) AS BIGINT) AS size, source, coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS id FROM documents),
 s1 AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY source),
 s2 AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) AS s FROM s1),
 s3 AS (SELECT *, {list(mixing.WEIGHTS)}[(s - 1) % {len(mixing.WEIGHTS)} + 1] AS w, {mixing.MOST_REPEATS} * source_size AS cap, CAST(sum(source_size) OVER () AS BIGINT) AS total FROM s2),
@@ -127,18 +130,20 @@ s5 AS (SELECT *, (total - below) / CAST(rest AS DOUBLE) AS l FROM s4),
 s6 AS (SELECT *, (SELECT l FROM s5 WHERE l <= fills ORDER BY fills, s LIMIT 1) AS level FROM s5),
 s7 AS (SELECT source, s, source_size, CASE WHEN fills < level THEN CAST(cap AS DOUBLE) ELSE w * level END AS target, 1 AS one,
               CAST(round(total / {float(mixing.BLOCK)}::DOUBLE) AS BIGINT) AS seats,
-              greatest(1, least({mixing.MOST_SHARDS}, CAST(ceil(source_size / {float(mixing.SHARD_WORDS)}::DOUBLE) AS BIGINT))) AS shards FROM s6),
+              greatest(1, CAST(ceil(source_size / {float(mixing.SHARD_WORDS)}::DOUBLE) AS BIGINT)) AS shards FROM s6),
 {_seats("s7", "one", "target", "seats", "s", "p")},
-placed AS (SELECT z.doc_id, z.size, p.s, p.source_size, p.target, p.quota AS source_quota, md5('17:' || coalesce(CAST(z.doc_id AS VARCHAR), 'null')) AS m,
-                  {_hex7("'17:' || coalesce(CAST(z.doc_id AS VARCHAR), 'null')")} % p.shards AS shard
+placed AS (SELECT z.doc_id, z.size, p.s, p.source_size, p.target, p.quota AS source_quota, md5('17:' || z.id) AS m, {_hex("'17:' || z.id", 15)} % p.shards AS shard
            FROM sizes z JOIN p ON z.source IS NOT DISTINCT FROM p.source),
-t AS (SELECT s, shard, CAST(sum(size) AS BIGINT) AS shard_size, first(source_quota) AS seats, CAST(sum(size) AS DOUBLE) AS votes FROM placed GROUP BY s, shard),
-{_seats("t", "s", "votes", "seats", "shard", "u")},
+t AS (SELECT s, shard, s * {mixing.AREAS} + shard // {mixing.AREA} AS area, CAST(sum(size) AS BIGINT) AS shard_size, first(source_quota) AS seats, CAST(sum(size) AS DOUBLE) AS votes FROM placed GROUP BY s, shard),
+r AS (SELECT s, area, sum(votes) AS votes, first(seats) AS seats FROM t GROUP BY s, area),
+{_seats("r", "s", "votes", "seats", "area", "v")},
+ta AS (SELECT t.s, t.shard, t.area, t.shard_size, t.votes, v.quota AS seats FROM t JOIN v ON t.area = v.area),
+{_seats("ta", "area", "votes", "seats", "shard", "u")},
 line AS (SELECT *, CAST(sum(size) OVER (PARTITION BY s, shard ORDER BY m, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS b FROM placed),
 q AS (SELECT s AS qs, shard AS qshard, shard_size, least(quota * {mixing.BLOCK}, {mixing.MOST_REPEATS} * shard_size) AS words FROM u),
 x AS (SELECT l.*, shard_size, CASE WHEN shard_size > 0 THEN words // shard_size ELSE 0 END AS passes,
              CASE WHEN shard_size > 0 THEN words % shard_size ELSE 0 END AS run,
-             CASE WHEN shard_size > 0 THEN ({_hex7("'17/' || CAST(s AS VARCHAR) || '/' || CAST(shard AS VARCHAR)")} % greatest(1, shard_size // {mixing.BLOCK})) * {mixing.BLOCK} ELSE 0 END AS off
+             CASE WHEN shard_size > 0 THEN ({_hex("'17/' || CAST(s AS VARCHAR) || '/' || CAST(shard AS VARCHAR)", 7)} % greatest(1, shard_size // {mixing.BLOCK})) * {mixing.BLOCK} ELSE 0 END AS off
       FROM line l JOIN q ON l.s = qs AND l.shard = qshard)
 SELECT doc_id, size, source_size, target,
        CAST(passes * size + greatest(0, least(b + size, off + run) - greatest(b, off)) + greatest(0, least(b + size, off + run - shard_size) - b) AS BIGINT) AS taken
@@ -197,12 +202,12 @@ def _canonical(text: str) -> str:
 
 
 _KNOWN = ", ".join("('{}', '{}')".format(i, t.replace("'", "''")) for i, t in licenses.LICENSES)
+_DIGESTS = ", ".join(f"('{i}', '{d}')" for i, d in licenses.DIGESTS)
 OP9_SQL = f"""
-WITH known AS (SELECT {_canonical("t")} AS digest, min(i) AS license_id FROM (VALUES {_KNOWN}) AS v(i, t) GROUP BY 1),
+WITH known AS (SELECT digest, min(i) AS license_id FROM (SELECT {_canonical("t")} AS digest, i FROM (VALUES {_KNOWN}) AS v(i, t) UNION ALL SELECT d, i FROM (VALUES {_DIGESTS}) AS w(i, d)) GROUP BY 1),
 lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
 notices AS (SELECT doc_id, count(*) AS n, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notices
-            FROM lines JOIN known ON {_canonical("line")} = digest
-            WHERE regexp_matches(translate(line, '{licenses.UPPER}', '{licenses.LOWER}'), '{licenses.SPEAKS}') GROUP BY doc_id),
+            FROM lines JOIN known ON {_canonical("line")} = digest GROUP BY doc_id),
 whole AS (SELECT doc_id, {_canonical("text")} AS text_digest FROM documents)
 SELECT whole.doc_id, text_digest, license_id, CAST(coalesce(n, 0) AS BIGINT) AS n_notices, coalesce(notices, '') AS notices
 FROM whole LEFT JOIN known ON digest = text_digest LEFT JOIN notices USING (doc_id)"""

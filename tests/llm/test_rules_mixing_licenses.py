@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import rows_of
+from conftest import SF, rows_of
 from pyspark.sql import functions as F
 
 from sparley.llm import licenses, mixing, quality_rules
@@ -71,6 +71,55 @@ def test_apportionment_is_that_of_highest_quotients(spark):
     assert {r["o"]: r["quota"] for r in got.collect()} == {k: sum(j == k for _, j in quotients) for k, *_ in votes}
 
 
+def words_of(df):
+    n = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0))
+    return {r["source"]: r["n"] for r in df.groupBy("source").agg(F.sum(n).alias("n")).collect()}
+
+
+def test_repeat_gives_each_source_the_words_of_the_mix(spark):
+    rows = [(k, f"  {'é ' * (1 + k % 40)}end{k}\n\nlast\t", f"s{k % 4}" if k % 4 else None, 0) for k in range(300)]
+    rows += [(9000, " ".join(f"long{k}" for k in range(6000)), "s1", 5), (9000, "twice the id", "s1", 5), (9000, "twice the id", "s1", 5), (None, "no id here", "s2", 5), (None, "nor here", "s2", 5), (7, None, "s1", 1), (8, " ", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    taken = {r["source"]: r["t"] for r in mixing.mix(docs, shard_words=500).groupBy("source").agg(F.sum("taken").alias("t")).collect()}
+    out = mixing.repeat(docs, shard_words=500)
+    assert words_of(out) == {s: t for s, t in taken.items() if t}
+    texts = {}
+    for k, text, source, _ in rows:
+        texts.setdefault((k, source), []).append(text or "")
+    whole = cut = 0
+    for r in out.collect():
+        own = texts[r["doc_id"], r["source"]]
+        whole += r["text"] in own
+        cut += r["text"] not in own
+        assert any(r["text"] in t for t in own) and (r["text"] in own or r["n_chars"] == len(r["text"]))
+    assert whole > 5 * cut > 0
+    assert mixing.repeat(docs.limit(0)).count() == 0
+
+
+def test_many_sources_and_shards(spark):
+    rows = [(k, "w " * (1 + k % 7), f"site{k % 900}") for k in range(4000)]
+    for options in ({"shard_words": 10}, {"shard_words": 3000}):
+        got = shares(spark, rows, **options).collect()
+        total = sum(r["size"] for r in got)
+        by = {}
+        for r in got:
+            x = by.setdefault(r["source"], [0, r["target"], r["source_size"]])
+            x[0] += r["taken"]
+        # The level by hand: weights 5, 2, 1 by code point, filled up to three times the size.
+        weights = {s: mixing.WEIGHTS[k % 3] for k, s in enumerate(sorted(by))}
+        low, high = 0.0, float(total)
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(3 * x[2], weights[s] * mid) for s, x in by.items()) < total else (low, mid)
+        assert len(by) == 900 and all(x[1] == pytest.approx(min(3 * x[2], weights[s] * low)) and abs(x[0] - x[1]) <= 2 * mixing.BLOCK for s, x in by.items())
+
+
+def test_apportionment_among_all_is_that_within_a_group(spark):
+    votes = [(k, 1, float(1 + k * k % 97), 500) for k in range(300)]
+    df = spark.createDataFrame(votes, "o long, g int, v double, seats long")
+    assert rows_of(mixing.apportion(df, None, "v", "seats", "o")) == rows_of(mixing.apportion(df, "g", "v", "seats", "o"))
+
+
 def test_mix_edge_cases(spark):
     assert shares(spark, []).count() == 0
     assert rows_of(shares(spark, [(1, None, None), (2, "", "a")]).select("doc_id", "taken", "target")) == [(1, 0, 0.0), (2, 0, 0.0)]
@@ -90,6 +139,24 @@ def test_licences(spark):
     assert licenses.known(spark).groupBy("digest").count().filter("count > 1").count() == 0
 
 
+def test_long_licences_are_known_by_their_digests(spark):
+    import pathlib
+
+    folder = pathlib.Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    if not all((folder / n).exists() for n in names):
+        pytest.skip("this system has no licence texts")
+    texts = {n: (folder / n).read_text() for n in names}
+    rows = [(k, texts[n]) for k, n in enumerate(names)] + [(100 + k, "\n".join("// " + x.strip().upper() for x in texts[n].split("\n"))) for k, n in enumerate(names)] + [(200, texts["GPL-3"] + "and more")]
+    got = {r["doc_id"]: r["license_id"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {k: i for k, i in enumerate(names.values())} | {100 + k: i for k, i in enumerate(names.values())} | {200: None}
+
+
+def test_lines_are_hash_joined(spark):
+    plan = licenses.scan(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "try_element_at" not in plan
+
+
 def test_every_known_line_is_a_notice(spark):
     lines = [(k, i, t) for k, (i, t) in enumerate(licenses.LICENSES) if "\n" not in t]
     docs = spark.createDataFrame([(k, f"Some text.\n  {t.upper()}\nMore text.") for k, _, t in lines], "doc_id long, text string")
