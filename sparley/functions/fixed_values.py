@@ -40,6 +40,16 @@ GOVERNMENT_ROLES = ("minister", "minister_nominee", "minister_acting", "vice_min
 PANEL_ROLES = ("minister", "minister_acting", "minister_nominee")
 
 TERMS = (16, 17, 18, 19, 20, 21, 22)
+#: Term, first and last day.
+TERM_DAYS = (
+    (16, "2000-05-30", "2004-05-29"),
+    (17, "2004-05-30", "2008-05-29"),
+    (18, "2008-05-30", "2012-05-29"),
+    (19, "2012-05-30", "2016-05-29"),
+    (20, "2016-05-30", "2020-05-29"),
+    (21, "2020-05-30", "2024-05-29"),
+    (22, "2024-05-30", "2028-05-29"),
+)
 HEARING_TYPES = ("상임위원회", "국정감사", "인사청문특별위원회", "예산결산특별위원회", "국회본회의", "국정조사")
 DIRECTIONS = ("question", "answer")
 COMMITTEE_KEYS = (
@@ -69,6 +79,44 @@ COMMITTEE_KEYS = (
     "investigation",
     "plenary",
 )
+#: Raw name of a committee and its key.
+COMMITTEES = (
+    ("통일외교통상위원회", "foreign_affairs"),
+    ("외교통상통일위원회", "foreign_affairs"),
+    ("외교통일위원회", "foreign_affairs"),
+    ("국방위원회", "defense"),
+    ("재정경제위원회", "finance"),
+    ("기획재정위원회", "finance"),
+    ("교육위원회", "education"),
+    ("교육과학기술위원회", "education_science"),
+    ("교육문화체육관광위원회", "education_culture"),
+    ("과학기술정보통신위원회", "science_ict"),
+    ("미래창조과학방송통신위원회", "science_ict"),
+    ("농림해양수산위원회", "agriculture"),
+    ("농림수산식품위원회", "agriculture"),
+    ("농림축산식품해양수산위원회", "agriculture"),
+    ("산업자원위원회", "industry"),
+    ("지식경제위원회", "industry"),
+    ("산업통상자원위원회", "industry"),
+    ("보건복지위원회", "health_welfare"),
+    ("보건복지가족위원회", "health_welfare"),
+    ("환경노동위원회", "environment_labor"),
+    ("건설교통위원회", "land_transport"),
+    ("국토해양위원회", "land_transport"),
+    ("국토교통위원회", "land_transport"),
+    ("행정자치위원회", "public_admin"),
+    ("안전행정위원회", "public_admin"),
+    ("행정안전위원회", "public_admin"),
+    ("법제사법위원회", "judiciary"),
+    ("정무위원회", "political_affairs"),
+    ("국회운영위원회", "assembly_operations"),
+    ("정보위원회", "intelligence"),
+    ("여성위원회", "gender_family"),
+    ("여성가족위원회", "gender_family"),
+    ("문화관광위원회", "culture"),
+    ("문화체육관광위원회", "culture"),
+    ("문화체육관광방송통신위원회", "culture_media"),
+)
 SPEECH_COLUMNS = ("meeting_id", "term", "committee", "committee_key", "hearing_type", "date", "agenda", "speaker", "member_id", "speech_order", "role", "person_name", "affiliation_raw", "speech_text")
 DYAD_COLUMNS = ("meeting_id", "term", "committee", "committee_key", "hearing_type", "date", "agenda", "leg_name", "leg_speaker_raw", "witness_name", "witness_speaker_raw", "witness_role", "witness_affiliation", "direction", "leg_speech", "witness_speech")
 
@@ -114,6 +162,44 @@ SPEAKER_RULES = (
     ("org_head", "원장|회장|사장", "last", "whole"),
 )
 
+#: The documented cascade over all roles, as SPEAKER_RULES; agency chairs, who are no legislators, come first.
+SPEAKER_RULES_ALL = (
+    ("independent_official", "(국사편찬|방송통신|공정거래|금융|국민권익|국가인권)위원장", "after", "whole"),
+    ("chair", "위원장", "after", "whole"),
+    ("legislator", "위원$", "without:위원", "whole"),
+    ("legislator", "MEMBER", "whole", "whole"),
+    ("minister_nominee", "장관후보자", "after", "before"),
+    ("minister_acting", "장관직무대행|장관직무대리", "after", "before"),
+    ("minister", "장관", "after", "before"),
+    ("nominee", "총리.*후보자|후보자.*총리", "after:총리\\s*(후보자)?", "whole"),
+    ("prime_minister", "총리", "after", "whole"),
+    ("vice_minister", "차관", "after", "before"),
+    ("witness", "증인", "without:증인", "none"),
+    ("testifier", "진술인", "without:진술인", "none"),
+    ("expert_witness", "참고인", "without:참고인", "none"),
+    ("committee_staff", "전문위원", "after", "whole"),
+    ("nominee", "후보자", "after", "before"),
+    ("agency_head", "청장", "after", "whole"),
+    ("audit_official", "감사원장|감사위원", "last", "whole"),
+    ("constitutional_court", "헌법재판소", "last", "whole"),
+    ("election_official", "선거관리위원회|선관위", "last", "whole"),
+    ("assembly_official", "국회사무|국회도서관|국회예산정책처|국회입법조사처", "last", "whole"),
+    ("military", "사령관|참모총장", "last", "whole"),
+    ("police", "경찰", "last", "whole"),
+    ("broadcasting", "방송공사|방송사|방송원", "last", "whole"),
+    ("public_corp_head", "사장|은행장", "last", "whole"),
+    ("financial_regulator", "금융감독원", "last", "whole"),
+    ("research_head", "연구원장|연구소장", "last", "whole"),
+    ("cultural_institution_head", "박물관장|미술관장|예술원장", "last", "whole"),
+    ("cooperative_head", "조합장|중앙회장", "last", "whole"),
+    ("org_head", "원장|회장", "last", "whole"),
+    ("senior_bureaucrat", "본부장|처장|사무처장|국장|실장|차장|총재|이사장", "last", "whole"),
+    ("mid_bureaucrat", "정책관|감사관", "last", "whole"),
+    ("local_gov_head", "시장|도지사|군수|구청장|교육감", "last", "whole"),
+    ("private_sector", "주식회사|㈜|대표이사", "last", "whole"),
+    ("other_official", "보좌관|대변인|자문역|홍보관", "last", "whole"),
+)
+
 #: Pattern in a speaker's label, and the role of a speaker whose role is `other`.
 OTHER_RULES = (
     ("사관학교장", "military"),
@@ -166,6 +252,23 @@ OTHER_RULES_MORE = (
     ("철인3종|트라이애슬론", "private_sector"),
 )
 
+#: Pattern in a speaker's label, and the role that an audit suggests for a speaker whose role is `other`.
+SUGGESTED_ROLES = (
+    ("^(?:[^후]|후[^보]|후보[^자])*장관(?:[^후]|후[^보]|후보[^자])*$", "minister"),
+    ("위원장", "chair"),
+    ("차관", "vice_minister"),
+    ("청장", "agency_head"),
+    ("원장|회장", "org_head"),
+    ("사장", "public_corp_head"),
+    ("교수", "expert_witness"),
+    ("위원$", "expert_witness"),
+    ("이사", "org_head"),
+    ("감독|선수", "private_sector"),
+    ("국장|실장", "senior_bureaucrat"),
+)
+#: Words in the names of subcommittees.
+SUBCOMMITTEE = "소위|예결|법안심사|인사청문"
+
 #: member_id, naas_cd and the id that tells the two people apart.
 HOMONYMS = (
     ("7407", "E6S73230", "7407_A"),

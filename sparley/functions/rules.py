@@ -117,7 +117,7 @@ def split_name(person_name: Column | str, affiliation: Column | str, member_id:
     )
 
 
-def committee_key(committee: Column | str, table: Sequence[tuple[str, str]], default: str = "other") -> Column:
+def committee_key(committee: Column | str, table: Sequence[tuple[str, str]] = V.COMMITTEES, default: str = "other") -> Column:
     """The key of a committee, whatever subcommittee follows its name."""
     main = strip(F.regexp_replace(col(committee), "-.*$", ""))
     return first_match([(main == name, key) for name, key in table], default)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.expr import col, number
 
@@ -135,20 +136,43 @@ def leading_digits(df: DataFrame, value: str | Column) -> DataFrame:
     return found.select("digit", "n", (F.col("n") / found.agg(F.sum("n")).scalar()).alias("share"), F.log10(1 + 1 / F.col("digit")).alias("expected"))
 
 
-def middle(df: DataFrame, value: str, *ties: str) -> DataFrame:
-    """The row in the middle by a number (the later of two); ties order it in full.
+def middle(df: DataFrame, value: str, *ties: str, few: int = 100_000) -> DataFrame:
+    """The row in the middle by a number (the later of two); ties order it in full. Nulls come first."""
+    return nth(df, df.count() // 2, [value, *ties], few)
 
-    The sort is spread over tasks; a row's place is its place in its partition and the
-    sizes of those before it, one number for each partition.
+
+def nth(df: DataFrame, place: int, order: Sequence[str], few: int = 100_000) -> DataFrame:
+    """The row at a place (from 0) in the order of columns.
+
+    Counts of rows up to approximate quantiles narrow the rows down, column by column, until
+    at most `few` are left to be sorted. Bounds are values, so it doesn't matter how tasks
+    split the rows.
     """
-    ordered = df.orderBy(value, *ties).withColumn("_at", F.monotonically_increasing_id())
-    sizes = sorted((r["p"], r["n"]) for r in ordered.groupBy(F.shiftright("_at", 33).alias("p")).agg(F.count("*").alias("n")).collect())
-    left = sum(n for _, n in sizes) // 2
-    for part, n in sizes:
-        if left < n:
-            return ordered.filter(F.col("_at") == (part << 33) + left).drop("_at")
-        left -= n
-    return df.limit(0)
+    left = df
+    for c in order:
+        none = left.agg(F.count_if(F.col(c).isNull()).alias("n")).first()["n"]
+        if place < none:
+            left = left.filter(F.col(c).isNull())
+            continue
+        left, place = left.filter(F.col(c).isNotNull()), place - none
+        if not isinstance(df.schema[c].dataType, T.NumericType):
+            break
+        while True:
+            known = left.agg(F.percentile_approx(c, [k / 64 for k in range(1, 65)], 10_000).alias("q"), F.count("*").alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).first()
+            if known["n"] <= few:
+                return left.orderBy(*order).offset(place).limit(1)
+            if known["low"] == known["high"]:
+                break  # the next column decides
+            bounds = sorted({*known["q"], known["high"]})
+            upto = left.agg(*(F.count_if(F.col(c) <= F.lit(b)).alias(f"n{k}") for k, b in enumerate(bounds)), *(F.count_if(F.col(c) < F.lit(b)).alias(f"m{k}") for k, b in enumerate(bounds))).first()
+            k = next(k for k in range(len(bounds)) if upto[f"n{k}"] > place)
+            if upto[f"m{k}"] <= place:  # the bound's own value
+                left, place = left.filter(F.col(c) == F.lit(bounds[k])), place - upto[f"m{k}"]
+                break
+            below = upto[f"n{k - 1}"] if k else 0
+            left = left.filter(F.col(c) < F.lit(bounds[k]))
+            left, place = (left.filter(F.col(c) > F.lit(bounds[k - 1])) if k else left), place - below
+    return left.orderBy(*order).offset(place).limit(1)
 
 
 def hash_sample(df: DataFrame, key: str, k: int) -> DataFrame:

@@ -110,3 +110,16 @@ def changed_values(before: DataFrame, after: DataFrame, keys: Sequence[str], val
 def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Rows of child whose key parent lacks."""
     return child.join(parent.select(key).distinct(), key, "left_anti")
+
+
+def having(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of df whose key is among those of `keys`, once each."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")
+
+
+def side_by_side(rows: DataFrame, other: DataFrame, keys: Sequence[str], columns: Sequence[str], mark: str) -> DataFrame:
+    """All rows with columns of another version of them, named <column>_<mark>; null where it
+    lacks their key. Keys compare as strings; of repeated ones the other's first by value."""
+    first = other.groupBy(*(F.col(k).cast("string").alias(f"_{k}") for k in keys)).agg(F.min(F.struct(*columns)).alias("_x"))
+    joined_ = rows.join(first, [F.col(k).cast("string") == F.col(f"_{k}") for k in keys], "left")
+    return joined_.select(*rows.columns, *(F.col("_x")[c].alias(f"{c}_{mark}") for c in columns))

@@ -13,6 +13,7 @@ from ..sources import datasets
 
 LEG = {"leg_name": "person_name", "leg_speaker_raw": "speaker", "leg_member_uid": "_uid", "leg_party": "party", "leg_ruling_status": "ruling_status", "leg_seniority": "seniority", "leg_gender": "gender", "leg_speech": "speech_text"}
 WITNESS = {"witness_name": "person_name", "witness_speaker_raw": "speaker", "witness_role": "role", "witness_affiliation": "affiliation_raw", "witness_ministry_normalized": "ministry_normalized", "witness_dual_office": "dual_office", "witness_admin": "admin", "witness_admin_ideology": "admin_ideology", "witness_speech": "speech_text"}
+FLAGS = ("is_hearing", "is_public_hearing", "is_inquiry", "is_sitting", "begin_time", "end_time", "download_url")
 CONTEXT = ("term", "committee", "committee_key", "hearing_type", "date", "agenda")
 DYADS = ("meeting_id", *CONTEXT, "leg_name", "leg_speaker_raw", "leg_member_uid", "leg_party", "leg_ruling_status", "leg_seniority", "leg_gender", "witness_name", "witness_speaker_raw", "witness_role", "witness_affiliation", "witness_ministry_normalized", "witness_dual_office", "witness_admin", "witness_admin_ideology", "direction", "leg_speech", "witness_speech")
 
@@ -44,15 +45,17 @@ def cleaned(s: DataFrame) -> DataFrame:
     s = s.withColumn("_m", rules.move_bad_title("person_title", "affiliation_raw")).withColumns({"person_title": F.col("_m.title"), "affiliation_raw": F.col("_m.affiliation")}).drop("_m")
     s = s.withColumn("_n", rules.split_name("person_name", "affiliation_raw", "member_id")).withColumns({"person_name": F.col("_n.person_name"), "affiliation_raw": F.col("_n.affiliation")}).drop("_n")
     s = s.withColumns({"speech_text": normalize_text("speech_text"), "date": date_text("date"), "ruling_status": F.nullif(F.col("ruling_status"), F.lit(""))})
-    s = rules.disambiguate(s.drop("member_uid"))
+    s = s.withColumn("committee_key", F.coalesce("committee_key", F.when(F.col("committee").isNotNull(), rules.committee_key("committee"))))
+    s = groups.canonical_names(rules.disambiguate(s.drop("member_uid")), "member_uid", "person_name", "person_title")
     return rules.homogenize(s, ["gender", "party", "ruling_status"])
 
 
 def with_members(s: DataFrame, members: DataFrame, legislators_only: bool = True) -> DataFrame:
-    """Member metadata by name and term, where it is null; legislators only, unless told not to."""
-    dim = members.withColumnRenamed("name", "person_name")
+    """Member metadata by name and term, where it is null, and the name that was found as
+    name_clean; legislators only, unless told not to."""
+    dim = members.withColumnRenamed("name", "person_name").withColumn("name_clean", F.col("person_name"))
     only = F.col("role").isin(*V.LEGISLATOR_ROLES) if legislators_only else None
-    return joins.lookup_fill(s, dim, ["person_name", "term"], ["party", "ruling_status", "seniority", "gender", "naas_cd"], only=only)
+    return joins.lookup_fill(s, dim, ["person_name", "term"], ["party", "ruling_status", "seniority", "gender", "naas_cd", "name_clean"], only=only)
 
 
 def with_conferences(s: DataFrame, details: DataFrame) -> DataFrame:
@@ -68,6 +71,27 @@ def with_conferences(s: DataFrame, details: DataFrame) -> DataFrame:
     return joins.yes_no(out, {new: old for old, new in names.items()}).withColumnsRenamed({"BG_PTM": "begin_time", "ED_PTM": "end_time", "DOWN_URL": "download_url"}).drop(*names, "matched")
 
 
+def with_new_conferences(s: DataFrame, old: DataFrame, details: DataFrame) -> DataFrame:
+    """Flags, times and links for the meetings that an older version lacks; others keep theirs."""
+    fresh = with_conferences(joins.orphans(s, old, "meeting_id").drop(*FLAGS), details)
+    return joins.having(s, old, "meeting_id").unionByName(fresh, allowMissingColumns=True)
+
+
+def verify(old: DataFrame, new: DataFrame) -> DataFrame:
+    """item, value, n: rows and meetings of two versions, meetings that the new one added or
+    lost, and the speeches and meetings that are new by hearing type. What there is to know
+    of a version that was built already, instead of building it again."""
+    keys = joins.key_difference(old, new, "meeting_id").groupBy("side").agg(F.count("*").alias("n"))
+    side = lambda of, name: keys.agg(F.coalesce(F.sum(F.when(F.col("side").isin(*of), F.col("n"))), F.lit(0)).cast("long").alias("n")).select(F.lit(name).alias("item"), F.lit(None).cast("string").alias("value"), "n")
+    rows = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("item"), F.lit(None).cast("string").alias("value"), "n")
+    fresh = joins.orphans(new, old, "meeting_id").groupBy(F.col("hearing_type").alias("value")).agg(F.count("*").alias("speeches"), F.count_distinct("meeting_id").alias("meetings"))
+    kinds = fresh.select(F.inline(F.array(*(F.struct(F.lit(f"new {c}").alias("item"), F.col("value"), F.col(c).alias("n")) for c in ("speeches", "meetings")))))
+    out = rows(old, "old speeches").unionByName(rows(new, "new speeches in all"))
+    for of, name in ((("left", "both"), "old meetings"), (("right", "both"), "new meetings in all"), (("right",), "added meetings"), (("left",), "lost meetings")):
+        out = out.unionByName(side(of, name))
+    return out.unionByName(kinds)
+
+
 def with_ministers(s: DataFrame, panel: DataFrame) -> DataFrame:
     """Ministries of government roles; office, administration and ideology of ministers, from
     the panel row that fits each person and meeting best, or else from the date."""

@@ -93,6 +93,9 @@ def validate_speeches(s: DataFrame, domain: Domain = Domain()) -> DataFrame:
         _count((c("role") == "chair") & ~c("speaker").contains("위원장")).alias("chair_keyword"),
         _count((c("role") == "minister") & ~c("speaker").contains("장관")).alias("minister_keyword"),
         _count((c("role") == "chair") & c("speaker").rlike("공사장|공단장|청장")).alias("chair_leak"),
+        _count(c("role") == "committee_staff").alias("staff"),
+        F.count_distinct("committee").alias("raw"),
+        F.count_distinct(F.when(c("committee_key") == "other", c("committee"))).alias("unmapped"),
     )
     scalars = _report(
         row,
@@ -115,6 +118,9 @@ def validate_speeches(s: DataFrame, domain: Domain = Domain()) -> DataFrame:
             ("classify_chair_keyword", c("chair_keyword"), None, c("chair_keyword") > 0),
             ("classify_minister_keyword", c("minister_keyword"), None, c("minister_keyword") > 0),
             ("classify_gov_chair_leak", c("chair_leak"), None, c("chair_leak") > 0),
+            ("classify_staff_count", c("staff"), None, None),
+            ("committee_raw_count", c("raw"), None, None),
+            ("committee_unmapped", c("unmapped"), None, c("unmapped") > 0),
         ],
     )
     copies = s.groupBy("meeting_id", "speech_order").agg(F.count("*").alias("k")).agg(F.coalesce(F.sum(F.when(F.col("k") > 1, F.col("k"))), F.lit(0)).alias("dups"), F.coalesce(F.sum("k"), F.lit(0)).alias("n"))
@@ -142,6 +148,8 @@ def validate_dyads(d: DataFrame, domain: Domain = Domain()) -> DataFrame:
         _count(~c("witness_role").isin(*domain.others)).alias("witness_unknown"),
         *(_share(is_blank(e, ("",))).alias(e) for e in empty),
         _count(strip("leg_name") == strip("witness_name")).alias("self"),
+        F.count_distinct(F.when(c("term").isin(*domain.terms), c("term"))).alias("terms"),
+        F.count_distinct(F.when(~c("committee_key").isin(*domain.committees), c("committee_key"))).alias("committees_unknown"),
     )
     return _report(
         row,
@@ -156,6 +164,8 @@ def validate_dyads(d: DataFrame, domain: Domain = Domain()) -> DataFrame:
             ("dyad_empty_leg_name", c("leg_name"), None, c("leg_name") > 0),
             ("dyad_empty_witness_name", c("witness_name"), None, c("witness_name") > 0),
             ("dyad_self_pairing", c("self"), None, c("self") > 0),
+            ("dyad_terms", c("terms"), c("terms") < len(domain.terms), None),
+            ("dyad_committees_unknown", c("committees_unknown"), None, c("committees_unknown") > 0),
         ],
     )
 
@@ -177,11 +187,47 @@ def validate_cross(s: DataFrame, d: DataFrame, domain: Domain = Domain()) -> Dat
 
 
 def distributions(s: DataFrame, d: DataFrame) -> DataFrame:
-    """check, key, n: the counts that reports list: terms, types, roles, committees, witnesses."""
-    out = None
-    for name, df, key in (("speech_term", s, "term"), ("speech_hearing_type", s, "hearing_type"), ("speech_role", s, "role"), ("committee_key", s, "committee_key"), ("dyad_term", d, "term"), ("dyad_witness_role", d, "witness_role"), ("dyad_direction", d, "direction")):
-        part = groups.counts(df, key, nulls=False).select(F.lit(name).alias("check"), F.col(key).cast("string").alias("key"), "n")
-        out = part if out is None else out.unionByName(part)
+    """check, key, n: the counts that reports list: terms, types, roles, committees, witnesses.
+    A table's rows are turned into an entry a column and counted in one aggregation."""
+    def counted(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+        entries = F.array(*(F.struct(F.lit(name).alias("check"), F.col(key).cast("string").alias("key")) for name, key in columns.items()))
+        return df.select(F.inline(entries)).filter("key IS NOT NULL").groupBy("check", "key").agg(F.count("*").alias("n"))
+
+    speeches = {"speech_term": "term", "speech_hearing_type": "hearing_type", "speech_role": "role", "committee_key": "committee_key"}
+    return counted(s, speeches).unionByName(counted(d, {"dyad_term": "term", "dyad_witness_role": "witness_role", "dyad_direction": "direction"}))
+
+
+def details(s: DataFrame, d: DataFrame, domain: Domain = Domain(), examples: int = 5, top: int = 20) -> DataFrame:
+    """check, key, value: what is behind the checks: terms that dyads lack and committee keys
+    that nobody knows, dyads a speech by term, shares of hearing types in either table, the
+    most frequent unclassified speakers, raw committees without a key, examples of meetings
+    with several keys and of pairs with oneself (the first by name)."""
+    c = F.col
+
+    def row(df: DataFrame, check: str, key: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(check).alias("check"), key.cast("string").alias("key"), F.round(value.cast("double"), 6).alias("value"))
+
+    terms = s.sparkSession.createDataFrame([(t,) for t in domain.terms], "term int")
+    lacking = terms.join(d.select("term").distinct(), "term", "left_anti")
+    ratios = s.groupBy("term").agg(F.count("*").alias("s")).join(d.groupBy("term").agg(F.count("*").alias("d")), "term")
+    known = ~c("committee_key").isin(*domain.committees)
+    several = s.filter("committee_key IS NOT NULL").groupBy("meeting_id").agg(F.count_distinct("committee_key").alias("k")).filter("k > 1").orderBy("meeting_id").limit(examples)
+    own = d.filter(strip("leg_name") == strip("witness_name")).groupBy(F.concat_ws("/", "meeting_id", "leg_name", "witness_role").alias("key")).agg(F.count("*").alias("n")).orderBy("key").limit(examples)
+    parts = [
+        row(lacking, "dyad_terms_missing", c("term"), F.lit(1)),
+        row(groups.counts(d.filter(known), "committee_key"), "dyad_committees_unknown", c("committee_key"), c("n")),
+        row(groups.counts(s.filter(known), "committee_key"), "speech_committees_unknown", c("committee_key"), c("n")),
+        row(ratios, "cross_term_ratio", c("term"), c("d") / c("s")),
+        row(groups.shares(s, "hearing_type"), "speech_hearing_type_share", c("hearing_type"), c("share")),
+        row(groups.shares(d, "hearing_type"), "dyad_hearing_type_share", c("hearing_type"), c("share")),
+        row(groups.top(s.filter(c("role").isin("other", "unknown")), "speaker", top), "classify_unclassified_top", c("speaker"), c("n")),
+        row(groups.counts(s.filter("committee_key = 'other'"), "committee"), "committee_unmapped", c("committee"), c("n")),
+        row(several, "committee_several_keys", c("meeting_id"), c("k")),
+        row(own, "dyad_self_pairing", c("key"), c("n")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
     return out
 
 

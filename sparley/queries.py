@@ -15,8 +15,9 @@ from .functions import fixed_values as V
 from .functions import rules
 from .functions.expr import date_text, first_match, joined, normalize_text, null_if_blank, padded
 from .operators import groups, joins, pairs
-from .plans import audit, validation
+from .plans import audit, build, validation
 from .sources import datasets
+from .streaming import append
 
 ASKS, ANSWERS = ("user",), ("assistant",)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,11 +79,13 @@ def dyad_direction_balance(spark, sf_dir):
 
 
 @query(f"""
-WITH {_PAIRS}, a AS (SELECT conv_id, count(*) AS actual FROM dy WHERE conv_id % 7 <> 0 GROUP BY 1), e AS (SELECT conv_id, count(*) AS expected FROM dy GROUP BY 1)
+WITH {_PAIRS}, a AS (SELECT conv_id, count(*) AS actual FROM (SELECT conv_id FROM dy UNION ALL SELECT conv_id FROM dy WHERE conv_id % 7 = 0 UNION ALL SELECT -conv_id - 1 FROM dy WHERE conv_id % 11 = 0) GROUP BY 1), e AS (SELECT conv_id, count(*) AS expected FROM dy GROUP BY 1)
 SELECT conv_id, coalesce(expected, 0) AS expected, coalesce(actual, 0) AS actual, coalesce(actual, 0) - coalesce(expected, 0) AS difference FROM e FULL JOIN a USING (conv_id)""")
 def dyad_recount(spark, sf_dir):
-    """Against dyads that lack every seventh conversation, which the recount has to show."""
-    there = _dyads(spark, sf_dir).filter("conv_id % 7 <> 0")
+    """Against all dyads and planted faults: those of every seventh conversation twice, and some
+    of conversations that don't exist."""
+    made = _dyads(spark, sf_dir).select("conv_id")
+    there = made.unionByName(made.filter("conv_id % 7 = 0")).unionByName(made.filter("conv_id % 11 = 0").select((-F.col("conv_id") - 1).alias("conv_id")))
     return pairs.recount(read(spark, sf_dir, "conversations"), there, "conv_id", "turn", "role", ASKS, ANSWERS)
 
 
@@ -96,12 +99,20 @@ def sidedness(spark, sf_dir):
     return pairs.sidedness(read(spark, sf_dir, "conversations"), "conv_id", "role", ASKS, ANSWERS)
 
 
+_DAMAGED = "CASE WHEN conv_id % 5 = 1 THEN concat(leg_speech, '!') ELSE leg_speech END"
+
+
 @query(f"""
-WITH {_PAIRS}, p AS (SELECT conv_id, direction, row_number() OVER (PARTITION BY conv_id ORDER BY turn, direction) AS place FROM dy)
-SELECT conv_id, CAST(place AS INT) AS place, true AS same FROM p WHERE place <= 5""")
+WITH {_PAIRS}, a AS (SELECT conv_id, turn, CASE WHEN conv_id % 7 = 2 THEN 'answer' ELSE direction END AS direction, {_DAMAGED} AS leg_speech FROM dy UNION ALL SELECT conv_id, -1, 'question', 'one more' FROM dy WHERE conv_id % 9 = 3 GROUP BY 1),
+e AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, direction) AS place FROM dy), f AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, direction, leg_speech) AS place FROM a)
+SELECT conv_id, CAST(place AS INT) AS place, e.direction IS NOT DISTINCT FROM f.direction AND e.leg_speech IS NOT DISTINCT FROM f.leg_speech AS same
+FROM (SELECT * FROM e WHERE place <= 5) e FULL JOIN (SELECT * FROM f WHERE place <= 5) f USING (conv_id, place)""")
 def dyad_alignment(spark, sf_dir):
-    made = _dyads(spark, sf_dir)
-    return pairs.aligned(made, made, "conv_id", "turn", ["direction", "leg_speech"])
+    """Against dyads with damaged texts and directions, and some that shift all behind them."""
+    made = _dyads(spark, sf_dir).select("conv_id", "turn", "direction", "leg_speech")
+    damaged = made.withColumns({"direction": F.when(F.col("conv_id") % 7 == 2, "answer").otherwise(F.col("direction")), "leg_speech": F.expr(_DAMAGED)})
+    more = made.filter("conv_id % 9 = 3").select("conv_id").distinct().select("conv_id", F.lit(-1).cast("long").alias("turn"), F.lit("question").alias("direction"), F.lit("one more").alias("leg_speech"))
+    return pairs.aligned(made, damaged.unionByName(more), "conv_id", "turn", ["direction", "leg_speech"])
 
 
 # Groups and order
@@ -131,9 +142,11 @@ def multiplicities(spark, sf_dir):
 SELECT l_orderkey, n, 0::BIGINT AS not_numbers, low, high, missing, repeated, missing > 0 OR repeated > 0 AS gap FROM (
   SELECT l_orderkey, count(*) AS n, min(l_linenumber)::BIGINT AS low, max(l_linenumber)::BIGINT AS high,
          max(l_linenumber)::BIGINT - min(l_linenumber) + 1 - count(DISTINCT l_linenumber) AS missing, count(*) - count(DISTINCT l_linenumber) AS repeated
-  FROM lineitem WHERE l_quantity > 5 GROUP BY 1)""")
+  FROM (SELECT l_orderkey, CASE WHEN l_quantity <= 5 THEN l_linenumber + 1 ELSE l_linenumber END AS l_linenumber FROM lineitem) GROUP BY 1)""")
 def turn_continuity(spark, sf_dir):
-    return groups.continuity(read(spark, sf_dir, "lineitem").filter("l_quantity > 5"), "l_orderkey", "l_linenumber")
+    """Line numbers of small quantities are one too high, which leaves gaps and repeats."""
+    number = F.when(F.col("l_quantity") <= 5, F.col("l_linenumber") + 1).otherwise(F.col("l_linenumber"))
+    return groups.continuity(read(spark, sf_dir, "lineitem").select("l_orderkey", number.alias("l_linenumber")), "l_orderkey", "l_linenumber")
 
 
 @query("SELECT l_orderkey, len(f) AS n_values, array_to_string(f, '|') AS found_values FROM (SELECT l_orderkey, list_sort(list(DISTINCT l_returnflag)) AS f FROM lineitem GROUP BY 1) WHERE len(f) > 1")
@@ -142,12 +155,14 @@ def meta_consistency(spark, sf_dir):
 
 
 @query("""
-WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS month FROM orders WHERE month(o_orderdate) NOT IN (3, 4, 5, 9)),
+WITH m AS (SELECT DISTINCT date_trunc('month', o_orderdate)::DATE AS month FROM orders UNION SELECT DISTINCT (date_trunc('year', o_orderdate) - INTERVAL 40 YEAR)::DATE FROM orders),
 g AS (SELECT lag(month) OVER (ORDER BY month) AS b, month, datediff('month', lag(month) OVER (ORDER BY month), month) - 1 AS gap FROM m)
 SELECT (b + INTERVAL 1 MONTH)::DATE AS first_month, (month - INTERVAL 1 MONTH)::DATE AS last_month, CAST(gap AS INT) AS gap FROM g WHERE gap >= 3""")
 def month_gaps(spark, sf_dir):
-    """Over orders without those of March to May and September, so there are gaps of three and of one."""
-    return groups.month_gaps(read(spark, sf_dir, "orders").filter(~F.month("o_orderdate").isin(3, 4, 5, 9)), "o_orderdate")
+    """Over all orders and, forty years earlier, the first of each of their years, so there are gaps."""
+    days = read(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+    early = days.select(F.add_months(F.trunc("day", "year"), -480).alias("day"))
+    return groups.month_gaps(days.unionByName(early), "day")
 
 
 @query("SELECT p_brand, first(p_name ORDER BY length(p_name), p_name) AS canonical FROM part GROUP BY 1")
@@ -240,11 +255,11 @@ _ID = _sample("c_custkey", (None, None, None, "", None, "0", None, None, None, "
 _SQL_STRIP = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
 
 
-def _classify_sql(name: str, member: str) -> str:
+def _classify_sql(name: str, member: str, rules_=V.SPEAKER_RULES) -> str:
     """The cascade as one CASE a column, written for DuckDB."""
     cols = {"role": [], "person": [], "affiliation": []}
     strip = _SQL_STRIP.format
-    for role, keyword, where, what in V.SPEAKER_RULES:
+    for role, keyword, where, what in rules_:
         when = f"{member} IS NOT NULL AND {strip(member)} NOT IN ('', 'nan', '0')" if keyword == "MEMBER" else f"regexp_matches({name}, '{keyword}')"
         kind, _, argument = where.partition(":")
         who = {
@@ -266,6 +281,12 @@ def classify_cascade(spark, sf_dir):
     return rows.select("c_custkey", rules.classify_speaker("s", "m").alias("r")).select("c_custkey", "r.role", "r.person", "r.affiliation")
 
 
+@query(f"WITH t AS (SELECT c_custkey, coalesce({_S}, '') AS s, {_ID} AS m FROM customer), u AS (SELECT c_custkey, {_SQL_STRIP.format('s')} AS n, m FROM t) SELECT c_custkey, {_classify_sql('n', 'm', V.SPEAKER_RULES_ALL)} FROM u")
+def classify_all_roles(spark, sf_dir):
+    rows = read(spark, sf_dir, "customer").select("c_custkey", F.expr(_S).alias("s"), F.expr(_ID).alias("m"))
+    return rows.select("c_custkey", rules.classify_speaker("s", "m", V.SPEAKER_RULES_ALL).alias("r")).select("c_custkey", "r.role", "r.person", "r.affiliation")
+
+
 _OTHER = "CASE WHEN c_custkey % 2 = 0 THEN 'other' ELSE 'witness' END"
 
 
@@ -382,10 +403,17 @@ def uid_disambiguate(spark, sf_dir):
     return rules.disambiguate(rows).select("c_custkey", "member_id", "member_uid")
 
 
-@query("SELECT p_partkey, CASE regexp_replace(p_brand || '-소위', '-.*$', '') WHEN 'Brand#11' THEN 'first' WHEN 'Brand#12' THEN 'second' ELSE 'other' END AS committee_key, trim(p_name || ' ' || p_type) AS label FROM part")
+_COMMITTEES = ("국방위원회", "교육과학기술위원회-법안심사소위", "행정안전위원회", "행정안전위원회-예결소위", "문화체육관광방송통신위원회", "특별한위원회", None, "정보위원회 ")
+_C = _sample("p_partkey", _COMMITTEES)
+
+
+@query(f"""
+SELECT p_partkey, CASE p_partkey % 8 WHEN 0 THEN 'defense' WHEN 1 THEN 'education_science' WHEN 2 THEN 'public_admin' WHEN 3 THEN 'public_admin' WHEN 4 THEN 'culture_media' WHEN 7 THEN 'intelligence' ELSE 'other' END AS committee_key,
+       trim(p_name || ' ' || p_type) AS label FROM part""")
 def committee_harmonize(spark, sf_dir):
-    rows = read(spark, sf_dir, "part").withColumn("c", F.concat("p_brand", F.lit("-소위")))
-    return rows.select("p_partkey", rules.committee_key("c", (("Brand#11", "first"), ("Brand#12", "second"))).alias("committee_key"), joined("p_name", "p_type").alias("label"))
+    """Keys written by hand, not taken from the table of names."""
+    rows = read(spark, sf_dir, "part").withColumn("c", F.expr(_C))
+    return rows.select("p_partkey", rules.committee_key("c").alias("committee_key"), joined("p_name", "p_type").alias("label"))
 
 
 _LABELS = ("김부겸 위원장", "여성가족부 장관", "홍길동 의원입니다", "나 위원", "국회사무처")
@@ -448,19 +476,20 @@ def lookup_enrich(spark, sf_dir):
 
 
 @query("""
-WITH k AS (SELECT c_custkey, c_mktsegment, c_nationkey FROM customer WHERE c_custkey % 3 <> 0),
+WITH k AS (SELECT CASE WHEN c_acctbal < 2000 THEN -c_custkey ELSE c_custkey END AS c_custkey, c_mktsegment, c_nationkey FROM customer),
 f AS (SELECT c_nationkey, first(c_mktsegment ORDER BY c_custkey) AS seg FROM k GROUP BY 1)
 SELECT o_orderkey, coalesce(k.c_mktsegment, f.seg) AS c_mktsegment, CASE WHEN k.c_custkey IS NOT NULL THEN 'direct' WHEN f.seg IS NOT NULL THEN 'fallback' END AS matched, coalesce(coalesce(k.c_mktsegment, f.seg) = 'BUILDING', false) AS building
 FROM orders LEFT JOIN k ON o_custkey = k.c_custkey LEFT JOIN f ON f.c_nationkey = o_custkey % 40""")
 def two_stage_match(spark, sf_dir):
-    """Orders to two thirds of the customers by key, the others by a made-up nation key."""
-    details = read(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select("c_custkey", "c_mktsegment", "c_nationkey")
+    """Orders to all customers by key, but keys of low balances are wrong, and so by a made-up nation key."""
+    key = F.when(F.col("c_acctbal") < 2000, -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("c_custkey")
+    details = read(spark, sf_dir, "customer").select(key, "c_mktsegment", "c_nationkey")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     out = joins.two_stage_match(orders, details, (F.col("o_custkey"), F.col("c_custkey")), ([F.col("o_custkey") % 40], [F.col("c_nationkey")]), ["c_mktsegment"], ["c_custkey"])
     return out.withColumn("building", F.coalesce(F.col("c_mktsegment") == "BUILDING", F.lit(False))).drop("o_custkey")
 
 
-_PANEL = "SELECT n_nationkey * 10 + k AS panel_order, n_nationkey % 5 AS seg, CASE WHEN (n_nationkey + k) % 2 = 0 THEN '1-URGENT' ELSE '5-LOW' END AS detail, make_date(1993 + (n_nationkey + k) % 5, 1, 1) AS first_day, CASE WHEN k = 2 THEN NULL ELSE make_date(1994 + (n_nationkey + k) % 5, 6, 30) END AS last_day FROM nation, (VALUES (0), (1), (2)) AS v(k) WHERE n_nationkey < 12"
+_PANEL = "SELECT n_nationkey * 10 + k AS panel_order, n_nationkey % 5 AS seg, CASE WHEN (n_nationkey + k) % 2 = 0 THEN '1-URGENT' ELSE '5-LOW' END AS detail, make_date(1993 + (n_nationkey + k) % 5, 1, 1) AS first_day, CASE WHEN k = 2 THEN NULL ELSE make_date(1994 + (n_nationkey + k) % 5, 6, 30) END AS last_day FROM nation, (VALUES (0), (1), (2)) AS v(k)"
 
 
 @query(f"""
@@ -486,12 +515,12 @@ def range_bucket(spark, sf_dir):
     return read(spark, sf_dir, "orders").select("o_orderkey", joins.range_value(F.col("o_orderdate").cast("date"), _RANGES).alias("period"))
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 = 0 UNION ALL SELECT o_orderkey, o_custkey, NULL FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey % 3 <> 0")
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, o_custkey, NULL FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'")
 def append_no_overlap(spark, sf_dir):
-    """Every third order, and of every second those that are new; their price is missing, another column too many."""
+    """To the finished orders all others: the batch has every order, its price is missing, another column too many."""
     orders = read(spark, sf_dir, "orders")
-    base = orders.filter("o_orderkey % 3 = 0").select("o_orderkey", "o_custkey", "o_totalprice")
-    batch = orders.filter("o_orderkey % 2 = 0").select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_custkey", "o_orderstatus")
+    base = orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey", "o_totalprice")
+    batch = orders.select(F.col("o_orderkey").cast("string").alias("o_orderkey"), "o_custkey", "o_orderstatus")
     return joins.append_new(base, batch, "o_orderkey")
 
 
@@ -519,6 +548,84 @@ def orphan_rows(spark, sf_dir):
     return joins.orphans(read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), parents, "l_orderkey")
 
 
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')")
+def semi_join(spark, sf_dir):
+    urgent = read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey"))
+    return joins.having(read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), urgent, "l_orderkey")
+
+
+@query("""
+SELECT a.conv_id, a.turn, a.role, o.role AS role_old FROM conversations a
+LEFT JOIN (SELECT conv_id, turn, min(CASE WHEN turn = 0 THEN 'other' ELSE role END) AS role FROM conversations WHERE role <> 'system' GROUP BY 1, 2) o USING (conv_id, turn)""")
+def versions_side_by_side(spark, sf_dir):
+    """All turns beside an older version that has other roles at the start and lacks the neutral ones."""
+    new = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    old = new.filter("role <> 'system'").withColumn("role", F.when(F.col("turn") == 0, "other").otherwise(F.col("role")))
+    return joins.side_by_side(new, old, ["conv_id", "turn"], ["role"], "old")
+
+
+_KINDS = "CASE WHEN conv_id % 3 = 0 THEN 'a' ELSE 'b' END"
+
+
+@query(f"""
+WITH n AS (SELECT conv_id, {_KINDS} AS t FROM conversations), o AS (SELECT conv_id FROM conversations WHERE role = 'system' UNION ALL SELECT -1),
+added AS (SELECT conv_id, t FROM n WHERE conv_id NOT IN (SELECT conv_id FROM o))
+SELECT 'old speeches' AS item, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM o UNION ALL SELECT 'new speeches in all', NULL, count(*) FROM n
+UNION ALL SELECT 'old meetings', NULL, count(DISTINCT conv_id) FROM o UNION ALL SELECT 'new meetings in all', NULL, count(DISTINCT conv_id) FROM n
+UNION ALL SELECT 'added meetings', NULL, count(DISTINCT conv_id) FROM added UNION ALL SELECT 'lost meetings', NULL, count(DISTINCT conv_id) FROM o WHERE conv_id NOT IN (SELECT conv_id FROM n)
+UNION ALL SELECT 'new speeches', t, count(*) FROM added GROUP BY 2 UNION ALL SELECT 'new meetings', t, count(DISTINCT conv_id) FROM added GROUP BY 2""")
+def verify_version(spark, sf_dir):
+    """All conversations against a version of those that have a system turn, and one that is lost."""
+    new = read(spark, sf_dir, "conversations").select(F.col("conv_id").alias("meeting_id"), "role", F.expr(_KINDS).alias("hearing_type"))
+    old = new.filter("role = 'system'").select("meeting_id").unionByName(spark.sql("SELECT -1L AS meeting_id"))
+    return build.verify(old, new)
+
+
+@query("""
+SELECT conv_id::VARCHAR AS meeting_id, turn, CASE WHEN role = 'system' THEN 'kept' WHEN known THEN 'u' || conv_id END AS download_url, CASE WHEN role <> 'system' THEN known AND conv_id % 3 = 0 END AS is_hearing
+FROM (SELECT conv_id, turn, CASE WHEN bool_or(role = 'system') OVER (PARTITION BY conv_id) THEN 'system' ELSE 'new' END AS role, conv_id % 4 <> 1 AS known FROM conversations)""")
+def new_meeting_flags(spark, sf_dir):
+    """Details for the conversations that an older version, of those with a system turn, lacks."""
+    turns = read(spark, sf_dir, "conversations")
+    old = turns.filter("role = 'system'").select(F.col("conv_id").cast("string").alias("meeting_id")).distinct()
+    s = turns.select(F.col("conv_id").cast("string").alias("meeting_id"), "turn", F.lit("x").alias("date"), F.lit("y").alias("committee"), F.lit("kept").alias("download_url"))
+    ids = turns.select("conv_id").distinct().filter("conv_id % 4 <> 1")
+    details = ids.selectExpr("CAST(conv_id AS STRING) AS CONF_ID", "'d' AS CONF_DT", "'c' AS CMIT_NM", "IF(conv_id % 3 = 0, 'Y', 'N') AS HR_HRG_YN", "'N' AS PBHRG_YN", "'N' AS HRG_YN", "'N' AS SITG_YN", "'' AS BG_PTM", "'' AS ED_PTM", "concat('u', conv_id) AS DOWN_URL")
+    return build.with_new_conferences(s, old, details).select("meeting_id", "turn", "download_url", "is_hearing")
+
+
+# Sources and sinks
+
+
+@query("SELECT conv_id, turn, role, text FROM conversations")
+def csv_round_trip(spark, sf_dir):
+    """Conversations exported as CSV, with their quotes and line ends, and read back by a schema."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    path = datasets.scratch(spark, "csv")
+    datasets.export(turns, path, "csv", single=False)
+    return datasets.read_csv(spark, path, turns.schema)
+
+
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
+def parquet_sink(spark, sf_dir):
+    """Orders written as zstd Parquet by priority and read back."""
+    path = datasets.scratch(spark, "parquet")
+    datasets.write_table(read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"), path, partition_by=["o_orderpriority"])
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+
+
+@query(f"WITH {_PAIRS} SELECT conv_id, count(*) AS n FROM dy GROUP BY 1")
+def stream_append(spark, sf_dir):
+    """Conversations that come twice in a stream and are appended, with their dyads, once."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    source, table, made, state = (datasets.scratch(spark, x) for x in ("stream", "table", "dyads", "state"))
+    derive = {made: lambda df: pairs.dyads(df, "conv_id", "turn", "role", ASKS, ANSWERS)}
+    for _ in range(2):
+        turns.write.mode("append").parquet(source)
+        append.run(spark.readStream.schema(turns.schema).parquet(source), table, "conv_id", state, derive).awaitTermination()
+    return spark.read.parquet(made).groupBy("conv_id").agg(F.count("*").alias("n"))
+
+
 # Text and audits
 
 
@@ -596,6 +703,8 @@ UNION ALL SELECT 'speech_terms', 'PASS', 7 UNION ALL SELECT 'speech_hearing_type
 UNION ALL SELECT 'speech_committees_other', 'PASS', 0 UNION ALL SELECT 'speech_memberid_role', 'PASS', 0 UNION ALL SELECT 'speech_leg_without_memberid', 'PASS', 0 UNION ALL SELECT 'speech_date_parsing', 'PASS', 1
 UNION ALL SELECT 'speech_date_term_range', 'PASS', 0 UNION ALL SELECT 'speech_empty_person_name', 'PASS', 0 UNION ALL SELECT 'classify_unclassified', 'PASS', 0 UNION ALL SELECT 'classify_chair_keyword', 'PASS', 0
 UNION ALL SELECT 'classify_minister_keyword', 'PASS', 0 UNION ALL SELECT 'classify_gov_chair_leak', 'PASS', 0 UNION ALL SELECT 'speech_order_numbers', 'PASS', 0 UNION ALL SELECT 'committee_meeting_consistency', 'PASS', 0
+UNION ALL SELECT 'dyad_terms', CASE WHEN count(DISTINCT conv_id % 7) < 7 THEN 'FAIL' ELSE 'PASS' END, count(DISTINCT conv_id % 7) FROM dy UNION ALL SELECT 'dyad_committees_unknown', 'PASS', 0 UNION ALL SELECT 'classify_staff_count', 'PASS', count(*) FROM conversations WHERE role NOT IN ('user', 'assistant')
+UNION ALL SELECT 'committee_raw_count', 'PASS', 1 UNION ALL SELECT 'committee_unmapped', 'PASS', 0
 UNION ALL SELECT 'dyad_directions', 'PASS', 0 UNION ALL SELECT 'dyad_witness_roles', 'PASS', 0 UNION ALL SELECT 'dyad_empty_leg_name', 'PASS', 0 UNION ALL SELECT 'dyad_empty_witness_name', 'PASS', 0
 UNION ALL SELECT 'speech_schema_required', 'PASS', 0 UNION ALL SELECT 'speech_schema_extra', 'PASS', 0 UNION ALL SELECT 'dyad_schema_required', 'PASS', 0 UNION ALL SELECT 'dyad_schema_extra', 'WARN', 1"""
 
@@ -605,8 +714,203 @@ def validation_report(spark, sf_dir):
     return validation.validate(*_transcript(spark, sf_dir)).select("check", "status", "value")
 
 
+# The same checks where there is something to find: faults are planted in the transcript by key,
+# in SQL that both engines read; the dyads are formed of it and damaged.
+
+_P = "CASE conv_id % 9 WHEN 0 THEN '김하나' WHEN 1 THEN '이두리' WHEN 2 THEN '박세리' WHEN 3 THEN '최네모' WHEN 4 THEN '정다섯' WHEN 5 THEN '강여섯' WHEN 6 THEN '조일곱' WHEN 7 THEN '윤여덟' ELSE '장아홉' END"
+_W = "CASE conv_id % 4 WHEN 0 THEN '김하나' WHEN 1 THEN '임열' WHEN 2 THEN '한백' ELSE '오천' END"
+_DAY = "concat({} + 4 * (conv_id % 7), '-06-', lpad(concat('', 1 + conv_id % 28), 2, '0'))"
+_FAULTY = f"""
+SELECT conv_id, concat('m', conv_id) AS meeting_id, CAST(16 + conv_id % 7 AS INT) AS term,
+       CASE conv_id % 5 WHEN 0 THEN '정무위원회' WHEN 1 THEN '정무위원회-법안심사소위' WHEN 2 THEN '교육문화체육관광위원회' WHEN 3 THEN '교육과학기술위원회' ELSE '기타위원회' END AS committee,
+       CASE WHEN conv_id % 11 = 2 AND turn = 1 THEN 'intelligence' WHEN conv_id % 31 = 3 THEN 'no such key' WHEN conv_id % 5 < 2 THEN 'political_affairs' WHEN conv_id % 5 = 2 THEN 'education_culture' WHEN conv_id % 5 = 3 THEN 'education_science' ELSE 'other' END AS committee_key,
+       CASE WHEN conv_id % 13 = 4 THEN '임시회의' WHEN conv_id % 3 = 0 THEN '국정감사' WHEN conv_id % 3 = 1 THEN '상임위원회' ELSE '국회본회의' END AS hearing_type,
+       CASE WHEN conv_id % 17 = 5 THEN 'bad' WHEN conv_id % 19 = 6 THEN '1999-01-01' WHEN conv_id % 37 = 9 THEN '' WHEN conv_id % 23 = 7 AND turn = 2 THEN {_DAY.format(2001)} ELSE {_DAY.format(2000)} END AS date,
+       'agenda' AS agenda,
+       CASE role WHEN 'user' THEN CASE WHEN conv_id % 4 = 1 THEN concat('위원장 ', {_P}) ELSE concat({_P}, '위원') END
+                 WHEN 'assistant' THEN CASE conv_id % 6 WHEN 0 THEN concat('법무부장관 ', {_W}) WHEN 1 THEN concat('증인 ', {_W}) WHEN 2 THEN concat('교수 ', {_W}) WHEN 3 THEN '장관' WHEN 4 THEN concat('장관석 청장', {_W}) ELSE concat('회장 ', {_W}) END
+                 ELSE '수석전문위원 한전문' END AS speaker,
+       CASE WHEN role = 'user' THEN CASE WHEN conv_id % 29 = 8 THEN 'X9' WHEN conv_id % 41 = 10 THEN 'nan' ELSE concat('', conv_id % 9) END WHEN role = 'assistant' AND conv_id % 27 = 11 THEN '77' END AS member_id,
+       CASE WHEN conv_id % 33 = 12 AND turn >= 2 THEN concat('', turn + 1) WHEN conv_id % 35 = 13 AND turn = 1 THEN 'x' ELSE concat('', turn) END AS speech_order,
+       CASE role WHEN 'user' THEN CASE WHEN conv_id % 4 = 1 THEN 'chair' ELSE 'legislator' END
+                 WHEN 'assistant' THEN CASE conv_id % 6 WHEN 0 THEN 'minister' WHEN 1 THEN 'witness' WHEN 2 THEN 'other' WHEN 3 THEN 'minister' WHEN 4 THEN 'minister' ELSE 'org_head' END
+                 ELSE CASE WHEN conv_id % 15 = 14 THEN 'no such role' ELSE 'committee_staff' END END AS role,
+       CASE role WHEN 'user' THEN CASE WHEN conv_id % 43 = 15 THEN '다른이' ELSE {_P} END WHEN 'assistant' THEN {_W} ELSE '' END AS person_name,
+       CASE WHEN role = 'assistant' THEN '법무부' END AS affiliation_raw,
+       CASE WHEN conv_id % 21 = 16 AND turn = 0 THEN '' WHEN conv_id % 25 = 17 THEN concat('<b>  ', text) WHEN conv_id % 39 = 18 THEN 'â€™ 가나다라마바사아자차카타파하' WHEN conv_id % 45 = 19 THEN 'the same text, said again and again' WHEN conv_id % 22 = 20 THEN '예' ELSE text END AS speech_text,
+       CASE WHEN role = 'user' THEN CASE WHEN conv_id % 47 = 21 THEN '?' WHEN conv_id % 9 < 4 THEN '남' ELSE '여' END END AS gender,
+       CASE WHEN role = 'user' THEN concat('당', conv_id % 3) WHEN conv_id % 49 = 22 THEN '당9' END AS party,
+       CASE WHEN role = 'user' THEN CASE WHEN conv_id % 2 = 0 THEN 'ruling' ELSE 'opposition' END END AS ruling_status,
+       CASE WHEN role = 'user' THEN CAST(CASE WHEN conv_id % 51 = 23 THEN 20 ELSE 1 + conv_id % 5 END AS DOUBLE) END AS seniority,
+       concat('', conv_id % 10) AS session, CASE WHEN role = 'user' THEN concat('N', conv_id % 9) END AS naas_cd
+FROM conversations"""
+_LOST = "CASE WHEN CAST(substr(meeting_id, 2) AS BIGINT) % 53 = 24 THEN 'lost' ELSE meeting_id END"
+_CHANGED = "CASE WHEN CAST(substr(meeting_id, 2) AS BIGINT) % 27 = 25 THEN concat(leg_speech, '!') ELSE leg_speech END"
+_STAYS = "NOT (CAST(substr(meeting_id, 2) AS BIGINT) % 26 = 1 AND direction = 'answer')"
+
+
+def _faulty(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    s = spark.sql(_FAULTY.replace("FROM conversations", "FROM {conversations}"), conversations=read(spark, sf_dir, "conversations")).drop("conv_id")
+    leg = {"leg_name": "person_name", "leg_speaker_raw": "speaker", "leg_speech": "speech_text"}
+    witness = {"witness_name": "person_name", "witness_speaker_raw": "speaker", "witness_role": "role", "witness_affiliation": "affiliation_raw", "witness_speech": "speech_text"}
+    d = pairs.dyads(s, "meeting_id", "speech_order", "role", context=["term", "committee", "committee_key", "hearing_type", "date", "agenda"], leg=leg, witness=witness)
+    return s, d.filter(_STAYS).withColumns({"leg_speech": F.expr(_CHANGED), "meeting_id": F.expr(_LOST)})
+
+
+def _list(values) -> str:
+    return "(" + ", ".join(map(repr, values)) + ")"
+
+
+_ASK, _TELL = _list(V.LEGISLATOR_ROLES), _list(V.NONLEGISLATOR_ROLES)
+_WITNESS_SIDE = ("person_name", "speaker", "role", "speech_text")
+_FAULTY_SQL = f"""
+s AS ({_FAULTY}),
+o AS (SELECT *, TRY_CAST(speech_order AS DOUBLE) AS spot FROM s WHERE TRY_CAST(speech_order AS DOUBLE) IS NOT NULL),
+nx AS (SELECT *, {", ".join(f"lead({c}) OVER w AS {c}2" for c in (*_WITNESS_SIDE, "speech_order", "term", "committee_key", "hearing_type"))} FROM o WINDOW w AS (PARTITION BY meeting_id ORDER BY spot, speech_order)),
+way AS (SELECT *, CASE WHEN role IN {_ASK} AND role2 IN {_TELL} THEN 'question' WHEN role IN {_TELL} AND role2 IN {_ASK} THEN 'answer' END AS direction FROM nx),
+made AS (SELECT meeting_id, direction, CASE direction WHEN 'question' THEN speech_order ELSE speech_order2 END AS speech_order,
+                CASE direction WHEN 'question' THEN term ELSE term2 END AS term, CASE direction WHEN 'question' THEN committee_key ELSE committee_key2 END AS committee_key, CASE direction WHEN 'question' THEN hearing_type ELSE hearing_type2 END AS hearing_type,
+                CASE direction WHEN 'question' THEN person_name ELSE person_name2 END AS leg_name, CASE direction WHEN 'question' THEN speaker ELSE speaker2 END AS leg_speaker_raw, CASE direction WHEN 'question' THEN speech_text ELSE speech_text2 END AS leg_speech,
+                CASE direction WHEN 'question' THEN person_name2 ELSE person_name END AS witness_name, CASE direction WHEN 'question' THEN speaker2 ELSE speaker END AS witness_speaker_raw, CASE direction WHEN 'question' THEN role2 ELSE role END AS witness_role,
+                CASE direction WHEN 'question' THEN speech_text2 ELSE speech_text END AS witness_speech FROM way WHERE direction IS NOT NULL),
+d AS (SELECT * REPLACE ({_CHANGED} AS leg_speech, {_LOST} AS meeting_id) FROM made WHERE {_STAYS}),
+mem AS (SELECT * REPLACE (trim(member_id) AS member_id) FROM s WHERE member_id IS NOT NULL AND trim(member_id) NOT IN ('', 'nan', 'None', 'NaN', '0', '<NA>')),
+dt AS (SELECT *, TRY_CAST(date AS DATE) AS day FROM s)"""
+
+
+def _counts(phase: int, check: str, key: str, of: str = "s", value: str = "count(*)") -> str:
+    return f"SELECT {phase} AS phase, '{check}' AS \"check\", {key} AS key, {value} AS value FROM {of} GROUP BY ALL"
+
+
+def _value(phase: int, check: str, value: str, of: str = "s") -> str:
+    return f"SELECT {phase}, '{check}', NULL, {value} FROM {of}"
+
+
+def _both(*columns: str) -> str:
+    return " || '/' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
+
+
+def _most(phase: int, check: str, key: str, k: int, of: str) -> str:
+    return f"SELECT {phase}, '{check}', key, n FROM (SELECT CAST({key} AS VARCHAR) AS key, count(*) AS n FROM {of} GROUP BY 1 ORDER BY n DESC, key NULLS FIRST LIMIT {k})"
+
+
+def _severals(column: str, group: str = "meeting_id", of: str = "s") -> str:
+    return f"(SELECT {group} FROM {of} GROUP BY 1 HAVING count(DISTINCT {column}) > 1)"
+
+
+def _audit_sql() -> str:
+    terms = ", ".join(f"({t}, DATE '{a}', DATE '{b}')" for t, a, b in V.TERM_DAYS)
+    suggested = " ".join(f"WHEN regexp_matches(speaker, '{p}') THEN '{r}'" for p, r in V.SUGGESTED_ROLES)
+    mojibake = "â€™|â€œ|Ã¤|Ã¶|Ã¼|\\\\u[0-9a-f]{4}|�"
+    sizes = "(SELECT meeting_id, count(*) AS size FROM s GROUP BY 1)"
+    order = "(SELECT meeting_id, max(v) AS hi, min(v) AS lo, count(DISTINCT v) AS k, count(*) AS n, count(*) FILTER (v IS NULL) AS bad FROM (SELECT meeting_id, TRY_CAST(speech_order AS DOUBLE) AS v FROM s) GROUP BY 1)"
+    recount = "(SELECT coalesce(a.n, 0) AS a, coalesce(e.n, 0) AS e FROM (SELECT meeting_id, count(*) AS n FROM d GROUP BY 1) a FULL JOIN (SELECT meeting_id, count(*) AS n FROM made GROUP BY 1) e USING (meeting_id))"
+    people = f"(SELECT member_id, count(*) AS n FROM mem WHERE role IN {_ASK} GROUP BY 1)"
+    wrong = " OR ".join(f"(committee_key = '{k}' AND term NOT IN {_list(t)})" for k, t in audit.COMMITTEE_TERMS.items())
+    placed = lambda t: f"(SELECT * FROM (SELECT meeting_id, direction, leg_speech, witness_speech, row_number() OVER (PARTITION BY meeting_id ORDER BY TRY_CAST(speech_order AS DOUBLE), direction) AS place FROM {t}) WHERE place <= 5)"
+    aligned = f"(SELECT e.direction IS NOT DISTINCT FROM a.direction AND e.leg_speech IS NOT DISTINCT FROM a.leg_speech AND e.witness_speech IS NOT DISTINCT FROM a.witness_speech AS same FROM {placed('made')} e FULL JOIN {placed('d')} a USING (meeting_id, place))"
+    months = "(SELECT month, lag(month) OVER (ORDER BY month) AS b FROM (SELECT DISTINCT date_trunc('month', day)::DATE AS month FROM dt WHERE day IS NOT NULL))"
+    lengths = "(SELECT role, length(speech_text) AS l FROM s)"
+    quality = {"mojibake": f"regexp_matches(speech_text, '{mojibake}')", "markup": "regexp_matches(speech_text, '<[a-zA-Z/][^>]*>')", "short": "length(speech_text) < 10", "foreign": "length(speech_text) > 20 AND len(regexp_extract_all(speech_text, '[가-힣]')) < 0.1 * length(speech_text)"}
+    parts = [
+        _counts(1, "date_last_day", "CAST(term AS VARCHAR)", "dt WHERE day IS NOT NULL", "datediff('day', DATE '1970-01-01', max(day))::DOUBLE"),
+        _counts(1, "date_first_day", "CAST(term AS VARCHAR)", "dt WHERE day IS NOT NULL", "datediff('day', DATE '1970-01-01', min(day))"),
+        _value(1, "date_parse_rate", "avg((day IS NOT NULL)::INT)", "dt"),
+        _counts(1, "date_out_of_term", "CAST(dt.term AS VARCHAR)", f"dt JOIN (VALUES {terms}) AS r(term, a, b) ON dt.term = r.term WHERE day NOT BETWEEN a - INTERVAL 30 DAY AND b + INTERVAL 30 DAY"),
+        _value(1, "date_blank", "count(*) FILTER (trim(date) = '')"),
+        f"SELECT 1, 'date_month_gap', CAST((b + INTERVAL 1 MONTH)::DATE AS VARCHAR), datediff('month', b, month) - 1 FROM {months} WHERE datediff('month', b, month) - 1 >= 3",
+        _value(1, "meeting_several_dates", "count(*)", _severals("date")),
+        _value(2, "id_not_numeric", "count(DISTINCT member_id)", "mem WHERE NOT regexp_matches(member_id, '^[0-9]+$')"),
+        "SELECT 2, 'id_several_names', member_id, count(DISTINCT person_name) FROM mem GROUP BY 3 HAVING count(DISTINCT person_name) > 1",
+        "SELECT 2, 'name_several_ids', person_name, count(DISTINCT member_id) FROM mem GROUP BY 3 HAVING count(DISTINCT member_id) > 1",
+        f"SELECT 2, 'id_terms', CAST(k AS VARCHAR), count(*) FROM (SELECT count(DISTINCT term) AS k FROM mem WHERE role IN {_ASK} GROUP BY member_id) GROUP BY 3",
+        _value(2, "id_other_role", "count(*)", f"mem WHERE role NOT IN {_ASK}"),
+        _value(2, "name_in_speaker", "avg(contains(speaker, person_name)::INT)", "s WHERE person_name <> ''"),
+        _value(2, "name_blank", "count(*)", "s WHERE person_name = ''"),
+        _value(3, "other_speeches", "count(*)", "s WHERE role = 'other'"),
+        _most(3, "other_speaker", "speaker", 50, "s WHERE role = 'other'"),
+        f"SELECT 3, 'other_suggested', speaker || ' > ' || r, n FROM (SELECT speaker, CASE {suggested} END AS r, n FROM (SELECT speaker, count(*) AS n FROM s WHERE role = 'other' GROUP BY 1 ORDER BY n DESC, speaker LIMIT 100)) WHERE r IS NOT NULL",
+        "SELECT 3, 'speaker_several_roles', speaker, count(DISTINCT role) FROM s GROUP BY 3 HAVING count(*) >= 10 AND count(DISTINCT role) > 1",
+        _counts(3, "chair_share", "CAST(term AS VARCHAR)", f"s WHERE role IN {_ASK}", "avg((role = 'chair')::INT)"),
+        _counts(3, "type_role", _both("hearing_type", "role")),
+        _counts(3, "minister_label", "CASE WHEN regexp_matches(speaker, '장관\\s+\\S') THEN 'named' WHEN regexp_matches(speaker, '장관$') THEN 'unnamed' WHEN contains(speaker, '장관') THEN 'other label' ELSE 'no keyword' END", "s WHERE role = 'minister'"),
+        _value(3, "minister_odd_label", "count(*)", "s WHERE role = 'minister' AND NOT regexp_matches(speaker, '장관\\s+\\S|장관$')"),
+        _value(4, "meeting_gaps", "count(*)", f"{order} WHERE hi - lo + 1 > k OR n - bad > k"),
+        _value(4, "meeting_odd_order", "count(*)", f"{order} WHERE bad > 0"),
+        _value(4, "meeting_singletons", "count(*)", f"{sizes} WHERE size = 1"),
+        *(_value(4, f"meeting_size_{c}", v, sizes) for c, v in (("mean", "avg(size)"), ("q25", "quantile_cont(size, 0.25)"), ("q50", "quantile_cont(size, 0.5)"), ("q75", "quantile_cont(size, 0.75)"), ("largest", "max(size)"))),
+        f"SELECT 4, 'meeting_large', meeting_id, size FROM {sizes} WHERE size > (SELECT floor(quantile_cont(size, 0.75)) + 3 * (floor(quantile_cont(size, 0.75)) - floor(quantile_cont(size, 0.25))) FROM {sizes})",
+        *(_value(4, f"meeting_several_{c}", "count(*)", _severals(c)) for c in ("committee", "term", "hearing_type", "date")),
+        f"SELECT 4, 'meeting_sides', CASE WHEN a AND b THEN 'both' WHEN a THEN 'leg_only' WHEN b THEN 'nonleg_only' ELSE 'neither' END, count(*) FROM (SELECT bool_or(role IN {_ASK}) AS a, bool_or(role IN {_TELL}) AS b FROM s GROUP BY meeting_id) GROUP BY 3",
+        _counts(4, "meetings", "CAST(term AS VARCHAR)", value="count(DISTINCT meeting_id)"),
+        *(_counts(5, f"text_{c}", "role", value=f"count(*) FILTER ({v})") for c, v in quality.items()),
+        *(_counts(5, f"text_length_{c}", "role", lengths, v) for c, v in (("mean", "avg(l)"), ("median", "quantile_cont(l, 0.5)"), ("high", "max(l)"))),
+        _value(5, "text_p999_length", "quantile_cont(l, 0.999)", lengths),
+        f"SELECT 5, 'text_longest', key, l FROM (SELECT {_both('meeting_id', 'speech_order')} AS key, length(speech_text) AS l FROM s ORDER BY l DESC, key LIMIT 10)",
+        _most(5, "text_short_top", "speech_text", 30, "s WHERE length(speech_text) < 10"),
+        _value(5, "text_repeated_in_meeting", "count(DISTINCT meeting_id)", "(SELECT meeting_id FROM s WHERE length(speech_text) > 30 GROUP BY meeting_id, speech_text HAVING count(*) > 1)"),
+        _value(5, "text_loose_share", "avg((contains(speech_text, '  ') OR starts_with(speech_text, ' '))::INT)"),
+        _counts(6, "committee_raw_names", "committee_key", value="count(DISTINCT committee)"),
+        _counts(6, "committee_mapping", _both("committee", "committee_key")),
+        _counts(6, "committee_term", _both("committee_key", "term")),
+        _counts(6, "committee_unexpected_term", _both("committee_key", "term"), f"s WHERE {wrong}"),
+        _counts(6, "committee_sub", "committee_key", f"s WHERE regexp_matches(committee, '{V.SUBCOMMITTEE}')"),
+        _counts(6, "committee_type_meetings", _both("committee_key", "hearing_type"), value="count(DISTINCT meeting_id)"),
+        _value(7, "dyad_count_off", "count(*) FILTER (a <> e)", recount),
+        _value(7, "dyad_count_off_share", "avg((a <> e)::INT)", recount),
+        _value(7, "dyad_self_same_speaker", "count(*) FILTER (leg_name = witness_name AND leg_speaker_raw = witness_speaker_raw)", "d"),
+        _value(7, "dyad_self_homonyms", "count(*) FILTER (leg_name = witness_name AND leg_speaker_raw <> witness_speaker_raw)", "d"),
+        _value(7, "dyad_one_sided", "count(*)", "(SELECT avg((direction = 'question')::INT) AS q FROM d GROUP BY meeting_id HAVING count(*) >= 10) WHERE q < 0.2 OR q > 0.8"),
+        _value(7, "dyad_orphan_meetings", "count(DISTINCT meeting_id)", "d WHERE meeting_id NOT IN (SELECT meeting_id FROM s)"),
+        f"SELECT 7, 'dyad_role_ratio', coalesce(x.role, y.role), CASE WHEN coalesce(x.n, 0) > 0 THEN coalesce(y.n, 0) / x.n END FROM (SELECT role, count(*)::DOUBLE AS n FROM s WHERE role IN {_TELL} GROUP BY 1) x FULL JOIN (SELECT witness_role AS role, count(*)::DOUBLE AS n FROM d GROUP BY 1) y USING (role)",
+        "SELECT 8, 'columns_present', NULL, 6",
+        _counts(8, "gender_values", "coalesce(gender, '')"),
+        _value(8, "gender_several", "count(*)", _severals("gender", "member_id", "mem")),
+        _most(8, "party_top", "party", 30, "mem"),
+        _value(8, "party_other_role", "count(*)", f"s WHERE party IS NOT NULL AND role NOT IN {_ASK}"),
+        _counts(8, "ruling_status_values", "coalesce(ruling_status, '')"),
+        *(_value(8, f"seniority_{c}", v, "mem") for c, v in (("lowest", "min(seniority)"), ("highest", "max(seniority)"), ("mean", "avg(seniority)"), ("null_share", "avg((seniority IS NULL)::INT)"))),
+        _counts(8, "sessions", "CAST(term AS VARCHAR)", value="count(DISTINCT session)"),
+        _value(8, "naas_cd_several", "count(*)", _severals("naas_cd", "member_id", "mem")),
+        _value(9, "dyad_text_off", "count(*) FILTER (NOT same)", aligned),
+        _value(9, "dyad_text_off_share", "avg((NOT same)::INT)", aligned),
+        f"SELECT 10, 'first_digit_share', left(size::VARCHAR, 1), count(*) / (SELECT count(*) FROM {sizes})::DOUBLE FROM {sizes} GROUP BY 3",
+        *(_value(10, f"speeches_per_legislator_{c}", v, people) for c, v in (("q25", "quantile_cont(n, 0.25)"), ("q50", "quantile_cont(n, 0.5)"), ("q75", "quantile_cont(n, 0.75)"), ("mean", "avg(n)"))),
+        f"SELECT 10, 'legislator_top', member_id, n FROM (SELECT * FROM {people} ORDER BY n DESC, member_id LIMIT 10)",
+        _counts(10, "term_speeches", "CAST(term AS VARCHAR)"),
+        _counts(10, "term_meetings", "CAST(term AS VARCHAR)", value="count(DISTINCT meeting_id)"),
+        _value(10, "last_term_speeches", "count(*)", "s WHERE term = 22"),
+        _value(10, "last_term_meetings", "count(DISTINCT meeting_id)", "s WHERE term = 22"),
+        _value(10, "intelligence_speeches", "count(*)", "s WHERE committee_key = 'intelligence'"),
+        _value(10, "intelligence_meetings", "count(DISTINCT meeting_id)", "s WHERE committee_key = 'intelligence'"),
+        _counts(10, "audit_share", "CAST(term AS VARCHAR)", value="count(*) FILTER (hearing_type = '국정감사') / nullif(count(*) FILTER (hearing_type IN ('국정감사', '상임위원회')), 0)::DOUBLE"),
+    ]
+    found = "\nUNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+    cases = " ".join(f"WHEN \"check\" = '{c}' AND ({when}) THEN '{level}'" for c, rules_ in audit.LEVELS.items() for level, when in rules_)
+    return f"""WITH {_FAULTY_SQL}, f AS ({found})
+SELECT CAST(phase AS INT) AS phase, CASE {cases} WHEN "check" IN {_list(audit.LEVELS)} THEN 'OK' ELSE 'INFO' END AS severity, "check", key, round(CAST(value AS DOUBLE), 6) AS value FROM f"""
+
+
+@query(_audit_sql())
 def audit_report(spark, sf_dir):
-    return audit.audit(*_transcript(spark, sf_dir), phases=(1, 2, 3, 4, 5, 6, 7, 9, 10))
+    """All ten phases on the transcript with planted faults."""
+    return audit.audit(*_faulty(spark, sf_dir))
+
+
+@query(f"""
+WITH {_FAULTY_SQL}, terms AS (SELECT unnest({list(V.TERMS)}) AS term)
+SELECT 'dyad_terms_missing' AS "check", CAST(term AS VARCHAR) AS key, 1.0::DOUBLE AS value FROM terms WHERE term NOT IN (SELECT term FROM d)
+UNION ALL SELECT 'dyad_committees_unknown', committee_key, count(*) FROM d WHERE committee_key NOT IN {_list(V.COMMITTEE_KEYS)} GROUP BY 2
+UNION ALL SELECT 'speech_committees_unknown', committee_key, count(*) FROM s WHERE committee_key NOT IN {_list(V.COMMITTEE_KEYS)} GROUP BY 2
+UNION ALL SELECT 'cross_term_ratio', CAST(a.term AS VARCHAR), round(b.n / a.n, 6) FROM (SELECT term, count(*)::DOUBLE AS n FROM s GROUP BY 1) a JOIN (SELECT term, count(*)::DOUBLE AS n FROM d GROUP BY 1) b USING (term)
+UNION ALL SELECT 'speech_hearing_type_share', hearing_type, round(count(*) / (SELECT count(*) FROM s)::DOUBLE, 6) FROM s GROUP BY 2
+UNION ALL SELECT 'dyad_hearing_type_share', hearing_type, round(count(*) / (SELECT count(*) FROM d)::DOUBLE, 6) FROM d GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'classify_unclassified_top', speaker, count(*) AS n FROM s WHERE role IN ('other', 'unknown') GROUP BY 2 ORDER BY n DESC, speaker LIMIT 20)
+UNION ALL SELECT 'committee_unmapped', committee, count(*) FROM s WHERE committee_key = 'other' GROUP BY 2
+UNION ALL SELECT * FROM (SELECT 'committee_several_keys', meeting_id, count(DISTINCT committee_key) FROM s GROUP BY 2 HAVING count(DISTINCT committee_key) > 1 ORDER BY meeting_id LIMIT 5)
+UNION ALL SELECT * FROM (SELECT 'dyad_self_pairing', meeting_id || '/' || leg_name || '/' || witness_role AS key, count(*) FROM d WHERE leg_name = witness_name GROUP BY 2 ORDER BY key LIMIT 5)""")
+def validation_details(spark, sf_dir):
+    return validation.details(*_faulty(spark, sf_dir))
 
 
 def investigation(spark, sf_dir):
@@ -615,4 +919,4 @@ def investigation(spark, sf_dir):
     return audit.investigate(old, s, d)
 
 
-QUERIES |= {"audit_report": audit_report, "investigation": investigation}
+QUERIES |= {"investigation": investigation}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 import os
 import shutil
@@ -44,6 +45,24 @@ def exists(spark: SparkSession, path: str) -> bool:
     return file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
 
 
+def scratch(spark: SparkSession, what: str) -> str:
+    """A fresh folder for a table of this application's own, where checkpoints go."""
+    use_checkpoints(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{what}-{uuid.uuid4().hex}"
+
+
+def use_checkpoints(spark: SparkSession) -> None:
+    """Has checkpoints written to the folder of spark.checkpoint.dir; on one machine, where the
+    session names none, to one of this user's."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the cluster shares")
+    context.setCheckpointDir(found or "file:///tmp/checkpoints/sparley")
+
+
 def read_optional(spark: SparkSession, path: str, missing: str = "fail") -> DataFrame | None:
     """A Parquet table; where it is missing: fail, or none."""
     if exists(spark, path):
@@ -114,15 +133,18 @@ def resolve(spark: SparkSession, version: str = LATEST, root: str | None = None)
 
 def summary(df: DataFrame, *groups: str) -> DataFrame:
     """item, value, n: all rows, distinct values of each group column (nulls don't count),
-    and rows of each value (null is one). One scan for each column, of that column alone."""
-    parts = [df.agg(F.count("*").alias("n")).select(F.lit("rows").alias("item"), F.lit(None).cast("string").alias("value"), "n")]
-    for g in groups:
-        parts.append(df.agg(F.count_distinct(g).alias("n")).select(F.lit(f"distinct {g}").alias("item"), F.lit(None).cast("string").alias("value"), "n"))
-        parts.append(df.groupBy(F.col(g).cast("string").alias("value")).agg(F.count("*").alias("n")).select(F.lit(f"by {g}").alias("item"), "value", "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    and rows of each value (null is one). One scan of the group columns: grouping sets count
+    all, and what is left to do is done on their few rows."""
+    if not groups:
+        return df.agg(F.count("*").alias("n")).select(F.lit("rows").alias("item"), F.lit(None).cast("string").alias("value"), "n")
+    entries = F.array(*(F.struct(F.lit(g).alias("g"), F.col(g).cast("string").alias("value")) for g in groups))
+    counted = df.select(F.inline(entries)).groupBy("g", "value").agg(F.count("*").alias("n"))
+    named = counted.select(F.concat(F.lit("by "), "g").alias("item"), "value", "n")
+    several = F.array(*(F.lit(g) for g in groups))
+    some = df.sparkSession.range(1).select(F.explode(several).alias("of")).join(counted.filter("value IS NOT NULL").groupBy("g").agg(F.count("*").alias("k")), F.col("of") == F.col("g"), "left")
+    distinct = some.select(F.concat(F.lit("distinct "), "of").alias("item"), F.lit(None).cast("string").alias("value"), F.coalesce("k", F.lit(0)).cast("long").alias("n"))
+    rows = counted.filter(F.col("g") == groups[0]).agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n")).select(F.lit("rows").alias("item"), F.lit(None).cast("string").alias("value"), "n")
+    return rows.unionByName(distinct).unionByName(named)
 
 
 def columns_of(spark: SparkSession, path: str) -> list[str]:
@@ -164,6 +186,17 @@ def export(df: DataFrame, path: str, form: str = "csv", single: bool = True) ->
     out.option("header", True).csv(path) if form == "csv" else out.parquet(path)
 
 
+def write_findings(found: DataFrame, path: str, metadata: Mapping[str, object] | None = None) -> None:
+    """Writes an audit as JSON: {timestamp, summary by severity, findings, metadata}."""
+    rows = [row.asDict(recursive=True) for row in found.collect()]
+    tally: dict[str, int] = {}
+    for row in rows:
+        tally[row["severity"]] = tally.get(row["severity"], 0) + 1
+    now = datetime.datetime.now(datetime.UTC).isoformat(timespec="seconds")
+    with open(path, "w", encoding="utf-8") as out:
+        json.dump({"timestamp": now, "summary": tally | {"total": len(rows)}, "findings": rows, "metadata": dict(metadata or {})}, out, ensure_ascii=False, indent=2, default=str)
+
+
 def write_report(checks: DataFrame, path: str, metadata: Mapping[str, object] | None = None) -> int:
     """Writes {summary, checks, metadata} as JSON; returns 1 if a check failed, else 0.
     Reports have a row for each check."""

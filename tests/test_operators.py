@@ -126,7 +126,61 @@ def test_build_and_checks(spark, tmp_path):
     assert report["cross_dyad_formation"] == "PASS" and report["speech_duplicates"] == "PASS" and report["dyad_schema_required"] == "PASS"
     assert datasets.write_report(validation.validate(s, d), str(tmp_path / "report.json")) == 1
     assert json.loads((tmp_path / "report.json").read_text())["summary"]["FAIL"] >= 1
-    assert audit.audit(s, d).filter("check = 'CRITICAL'").count() == 0
+    found = audit.audit(s, d)
+    assert found.filter("severity = 'CRITICAL'").count() == 0 and {r["phase"] for r in found.select("phase").distinct().collect()} == set(range(1, 11))
+    assert audit.exit_status(found) == 0
+    datasets.write_findings(found, str(tmp_path / "audit.json"), {"version": "x"})
+    told = json.loads((tmp_path / "audit.json").read_text())
+    assert told["summary"]["total"] == len(told["findings"]) == found.count() and told["timestamp"]
+
+
+def test_a_phase_that_fails_while_it_runs_is_a_finding(spark):
+    s = spark.createDataFrame([("m", "1", "legislator")], "meeting_id string, speech_order string, role string")
+    fails = F.udf(lambda x: 1 // 0, "int")
+    phases = audit.PHASES | {5: lambda s, d: audit._rows(s.select(fails("role").alias("v")), "never", None, "v"), 6: lambda s, d: audit._rows(s.agg(F.count("*").alias("n")), "date_blank", None, "n")}
+    old, audit.PHASES = audit.PHASES, phases
+    try:
+        found = audit.audit(s, s, (5, 6))
+    finally:
+        audit.PHASES = old
+    assert sorted((r["phase"], r["severity"], r["check"]) for r in found.collect()) == [(5, "CRITICAL", "phase5_error"), (6, "ISSUE", "date_blank")]
+    assert audit.exit_status(found) == 2
+
+
+def test_middle_of_wide_rows_and_ties(spark):
+    chance = random.Random(4)
+    rows = [(k, chance.randrange(-1000, 1000)) for k in range(30_000)]
+    df = spark.createDataFrame(rows, "k long, v long").repartition(7, "k").withColumn("wide", F.repeat(F.lit("x"), 2000))
+    want = sorted(rows, key=lambda r: (r[1], r[0]))[15_000]
+    for few in (100_000, 50, 1):
+        got = groups.middle(df, "v", "k", few=few).collect()
+        assert [(r["k"], r["v"]) for r in got] == [want] and len(got[0]["wide"]) == 2000
+    ties = spark.createDataFrame([(k, 5.0, None) for k in range(1000)], "k long, v double, n long")
+    assert groups.middle(ties, "n", "v", "k", few=10).first()["k"] == 500
+    assert groups.middle(ties.limit(0), "v", "k").count() == 0
+
+
+def test_versions(spark):
+    old = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "x")], "meeting_id string, hearing_type string")
+    new = spark.createDataFrame([("a", "x"), ("c", "y"), ("c", "y"), ("d", "x")], "meeting_id string, hearing_type string")
+    got = {(r["item"], r["value"]): r["n"] for r in build.verify(old, new).collect()}
+    assert got == {("old speeches", None): 3, ("new speeches in all", None): 4, ("old meetings", None): 2, ("new meetings in all", None): 3, ("added meetings", None): 2, ("lost meetings", None): 1, ("new speeches", "y"): 2, ("new meetings", "y"): 1, ("new speeches", "x"): 1, ("new meetings", "x"): 1}
+
+
+def test_command_line_builds_and_verifies(spark, tmp_path, capsys):
+    from sparley import cli
+
+    rows = [("1", 20, "국정감사", "2017-03-01", "위원장 김위원", "11", str(k), r, "김위원", "text") for k, r in enumerate([L, N, L])]
+    spark.createDataFrame(rows, "meeting_id string, term int, hearing_type string, date string, speaker string, member_id string, speech_order string, role string, person_name string, speech_text string").write.parquet(str(tmp_path / "raw"))
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    assert cli.main(["build", "--speeches", raw, "-o", out, "--dry-run"]) == 0 and not (tmp_path / "out").exists()
+    assert cli.main(["build", "--speeches", raw, "-o", out]) == 0
+    assert cli.main(["verify", "--old", raw, "--new", f"{out}/speeches.parquet"]) == 0
+    assert cli.main(["verify", "--old", raw, "--new", str(tmp_path / "none")]) == 1
+    at = ["--speeches", f"{out}/speeches.parquet", "--dyads", f"{out}/dyads.parquet"]
+    assert cli.main(["validate", "--report", str(tmp_path / "r.json"), *at]) == 1
+    assert cli.main(["audit", "--phase", "4,7", "--report", str(tmp_path / "a.json"), *at]) in (0, 1)
+    assert {f["phase"] for f in json.loads((tmp_path / "a.json").read_text())["findings"]} == {4, 7}
 
 
 def test_stream_appends_new_meetings_once(spark, tmp_path):
@@ -178,8 +232,9 @@ def test_members_fill_legislators_only(spark):
     members = spark.createDataFrame([("김", 20, "first"), ("이", 20, "other")], "name string, term int, party string")
     for c in ("ruling_status", "gender", "naas_cd"):
         s, members = s.withColumn(c, F.lit(None).cast("string")), members.withColumn(c, F.lit("x"))
-    s, members = s.withColumn("seniority", F.lit(None).cast("double")), members.withColumn("seniority", F.lit(2.0))
+    s, members = s.withColumn("seniority", F.lit(None).cast("double")).withColumn("name_clean", F.lit(None).cast("string")), members.withColumn("seniority", F.lit(2.0))
     got = build.with_members(s, members)
+    assert rows_of(got.filter("name_clean IS NOT NULL").select("name_clean", "role")) == [("김", "legislator"), ("이", "chair")]
     assert rows_of(got.select("party", "person_name", "role")) == sorted([("first", "김", "legislator"), (None, "김", "witness"), ("kept", "이", "chair"), (None, "박", "chair")], key=repr)
     assert build.with_members(s, members, legislators_only=False).filter("party IS NULL").count() == 1
 

@@ -75,3 +75,14 @@ def test_shared_ids_are_told_apart(spark):
 def test_reclassification_keeps_other_roles(spark):
     got = values(spark, rules.reclassify_other("r", "s"), [("other", "육군참모총장 남육군"), ("witness", "육군참모총장"), ("other", "무엇"), ("other", None), (None, "교수")], "r string, s string")
     assert got == ["military", "witness", "other", "other", None]
+
+
+def test_all_roles_of_the_documented_cascade(spark):
+    cases = {"방송통신위원장 이위원": "independent_official", "소위원장 홍길동": "chair", "국방부장관직무대행 홍길동": "minister_acting", "육군참모총장 남육군": "military", "서울경찰서장 강경찰": "police", "한국은행장 임은행": "public_corp_head", "금융감독원 부원장보 김": "financial_regulator", "한국교육연구원장 이": "research_head", "국립박물관장 박": "cultural_institution_head", "농협조합장 최": "cooperative_head", "기획조정실장 윤": "senior_bureaucrat", "통상정책관 정": "mid_bureaucrat", "서울특별시장 오": "local_gov_head", "주식회사 가나다 이": "private_sector", "정책보좌관 김": "other_official", "누구": "other"}
+    got = values(spark, rules.classify_speaker("s", "m", rules.V.SPEAKER_RULES_ALL), [(s, None) for s in cases], "s string, m string")
+    assert [g["role"] for g in got] == list(cases.values())
+
+
+def test_committee_names(spark):
+    cases = {"국방위원회": "defense", "행정안전위원회-예결소위": "public_admin", "교육문화체육관광위원회": "education_culture", "모르는위원회": "other", "국토해양위원회": "land_transport"}
+    assert values(spark, rules.committee_key("c"), [(c,) for c in cases], "c string") == list(cases.values())
