@@ -1,6 +1,7 @@
 import hashlib
 
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from sparley.llm import warc
 from sparley.llm.common import open_fs
@@ -49,3 +50,14 @@ def test_ties_and_empty_table(spark, tmp_path):
     assert rows_of(warc.read_archive(spark, f"file://{tmp_path}/a").select("page_id", "refers_to")) == [(0, 1), (1, None), (1, None)]
     warc.write_archive(pages(spark, []), f"file://{tmp_path}/b")
     assert warc.read_archive(spark, f"file://{tmp_path}/b").count() == 0
+
+
+def test_ids_differ_and_archives_are_read_by_several_tasks(spark, tmp_path):
+    rows = [(k % 40 if k % 5 else None, "u", f"{k % 50} " * 700, "clash", k) for k in range(120)] + [(7, "u", "long " * 400_000, "clash", 0)]
+    table = pages(spark, rows, "page_id long, url string, html string, payload_digest string, refers_to int")
+    folder = f"file://{tmp_path}/w"
+    index = warc.write_archive(table, folder, frame_bytes=2000, bundle_bytes=3000)
+    assert index.count() == index.select("record_id").distinct().count() == len(rows)
+    read = warc.read_archive(spark, folder)
+    assert read.count() == len(rows) and read.filter("payload_bytes = 2000000 AND page_id = 7").count() == 1
+    assert read.select(F.spark_partition_id().alias("p")).distinct().count() > 1
