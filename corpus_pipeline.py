@@ -30,7 +30,7 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, to the nearest whole number."""
+    """Documents as often as the mix takes them; one that it takes a part of becomes an excerpt."""
     return mixing.repeat(docs)
 
 
